@@ -1,9 +1,11 @@
 """The month-incremental run: from monthly files to published marts."""
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 from dataclasses import dataclass, field
 
+from pyspark import inheritable_thread_target
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -92,6 +94,13 @@ def months_done(spark: SparkSession, lake: Lake) -> DataFrame:
         return spark.createDataFrame([], schemas.MONTHS_DONE)
 
 
+def run_together(*actions: Callable[[], None]) -> None:
+    """Submit independent jobs at once; raise if any of them failed."""
+    with ThreadPoolExecutor(len(actions)) as pool:
+        for job in [pool.submit(inheritable_thread_target(action)) for action in actions]:
+            job.result()
+
+
 def publish_silver(
     spark: SparkSession, lake: Lake, limits: TripLimits, months: list[str] | None = None, lenient: bool = False
 ) -> None:
@@ -107,8 +116,10 @@ def publish_gold(
 ) -> None:
     """Write the fact once, then build each mart from the written fact.
 
-    Reading back costs each mart only its own columns and months. The efficiency
-    mart covers all months and is averaged from its stored monthly parts.
+    Reading back costs each mart only its own columns and months. The marts do
+    not depend on each other, so their jobs are submitted together and one's last
+    tasks do not leave the cluster idle. The efficiency mart covers all months
+    and is averaged from its stored monthly parts.
     """
 
     def put(mart: DataFrame, table: str) -> None:
@@ -118,19 +129,26 @@ def publish_gold(
     put(gold.fact_trips(trips), "fact_taxi_trips")
 
     fact = only_months(lake.read(spark, "fact_taxi_trips"), months, "trip_month")
-    put(gold.demand_mart(fact), "demand_by_zone_hour_mart")
-    put(gold.airport_mart(fact, airports), "airport_trip_mart")
-
-    days = gold.payment_days(fact).persist()
-    try:
-        put(gold.payment_mart_of(days), "payment_behavior_mart")
-        put(gold.revenue_mart_of(days), "revenue_by_borough_day_mart")
-    finally:
-        days.unpersist()
 
-    put(gold.efficiency_parts(fact), "trip_efficiency_parts")
-    efficiency = gold.efficiency_mart_of(lake.read(spark, "trip_efficiency_parts"))
-    replace_table(efficiency, lake.path("trip_efficiency_mart"), lake.fmt)
+    def payments_and_revenue() -> None:
+        days = gold.payment_days(fact).persist()
+        try:
+            put(gold.payment_mart_of(days), "payment_behavior_mart")
+            put(gold.revenue_mart_of(days), "revenue_by_borough_day_mart")
+        finally:
+            days.unpersist()
+
+    def efficiency() -> None:
+        put(gold.efficiency_parts(fact), "trip_efficiency_parts")
+        mart = gold.efficiency_mart_of(lake.read(spark, "trip_efficiency_parts"))
+        replace_table(mart, lake.path("trip_efficiency_mart"), lake.fmt)
+
+    run_together(
+        lambda: put(gold.demand_mart(fact), "demand_by_zone_hour_mart"),
+        lambda: put(gold.airport_mart(fact, airports), "airport_trip_mart"),
+        payments_and_revenue,
+        efficiency,
+    )
 
 
 def run_months(
@@ -166,7 +184,7 @@ def run_months(
         months = sorted(row.month for row in todo.collect())
 
         if months:
-            files = scan_months(spark, [trip_files.format(month=month) for month in months])
+            files = scan_months(spark, [trip_files.format(month=month) for month in months], lenient=lenient)
             stamped = bronze.stamp_load(files, trip_source, batch_id)
             append_batch(stamped, lake.path("yellow_trips"), "batch_id", lake.fmt)
 

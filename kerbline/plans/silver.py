@@ -2,6 +2,7 @@
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from kerbline import schemas
 from kerbline.functions import trips as tf
@@ -10,7 +11,8 @@ from kerbline.operators.dedup import dedup_trips, dedup_zones
 from kerbline.operators.quality import TripLimits, keep_valid
 from kerbline.operators.zones import add_both_zones
 
-_PASSED_THROUGH = [
+# Columns silver publishes as they are; no rule or key reads them.
+PASSED_THROUGH = [
     "extra",
     "mta_tax",
     "tip_amount",
@@ -20,7 +22,6 @@ _PASSED_THROUGH = [
     "Airport_fee",
     "ingestion_timestamp",
     "source_name",
-    "batch_id",
     "source_file",
 ]
 
@@ -30,8 +31,10 @@ def select_contract(bronze: DataFrame) -> DataFrame:
     return bronze.select(*schemas.names(schemas.BRONZE_TRIP))
 
 
-def typed_trips(bronze: DataFrame, lenient: bool = False) -> DataFrame:
-    """Rename and cast the raw columns.
+def typed_trips(
+    bronze: DataFrame, lenient: bool = False, carried: list[str] | tuple[str, ...] = tuple(PASSED_THROUGH)
+) -> DataFrame:
+    """Rename and cast the raw columns; `carried` columns come along unchanged.
 
     A value that does not fit its type raises; with `lenient` it becomes NULL and
     the quality rules decide about the row.
@@ -41,7 +44,8 @@ def typed_trips(bronze: DataFrame, lenient: bool = False) -> DataFrame:
         return F.col(name).try_cast(kind) if lenient else F.col(name).cast(kind)
 
     def ts(name: str) -> Column:
-        return F.try_to_timestamp(F.col(name).cast("string")) if lenient else F.to_timestamp(name)
+        is_text = isinstance(bronze.schema[name].dataType, StringType)
+        return F.try_to_timestamp(name) if lenient and is_text else F.to_timestamp(name)
 
     return bronze.select(
         ts("tpep_pickup_datetime").alias("pickup_ts"),
@@ -55,7 +59,8 @@ def typed_trips(bronze: DataFrame, lenient: bool = False) -> DataFrame:
         to("trip_distance", "double").alias("trip_distance"),
         to("fare_amount", "double").alias("fare_amount"),
         to("total_amount", "double").alias("total_amount"),
-        *_PASSED_THROUGH,
+        "batch_id",
+        *carried,
     )
 
 
@@ -71,15 +76,20 @@ def add_duration_speed(trips: DataFrame) -> DataFrame:
 
 
 def enriched_trips(
-    bronze: DataFrame, zones: DataFrame, months: list[str] | None = None, lenient: bool = False
+    bronze: DataFrame,
+    zones: DataFrame,
+    months: list[str] | None = None,
+    lenient: bool = False,
+    carried: list[str] | tuple[str, ...] = tuple(PASSED_THROUGH),
 ) -> DataFrame:
     """Typed, deduplicated trips with derived columns and both zones, before filtering.
 
     Month, duration and speed follow from the dedup key, so they are added after
     the dedup: they do not travel through its shuffle, and filters on them are
-    pushed below it.
+    pushed below it. A caller that only judges rows passes `carried=[]` and halves
+    the columns that do; the surviving copy has the same key, codes and amounts.
     """
-    typed = typed_trips(in_months(select_contract(bronze), "tpep_pickup_datetime", months), lenient)
+    typed = typed_trips(in_months(select_contract(bronze), "tpep_pickup_datetime", months), lenient, carried)
     trips = dedup_trips(with_timestamps(typed))
     trips = add_duration_speed(trips.withColumn("pickup_month", tf.month_key("pickup_ts")))
     return add_both_zones(trips, zones)

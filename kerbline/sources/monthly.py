@@ -12,11 +12,12 @@ from kerbline import schemas
 _FOOTER_READERS = 8
 
 
-def conform(df: DataFrame, contract: str) -> DataFrame:
+def conform(df: DataFrame, contract: str, lenient: bool = False) -> DataFrame:
     """Give the frame the contract's columns, spelling and types.
 
     Columns are matched without regard to case, absent ones become NULL and
-    columns the contract does not know are kept after the known ones.
+    columns the contract does not know are kept after the known ones. A value
+    that does not fit raises, or becomes NULL with `lenient`.
     """
     present = {name.lower(): name for name in df.columns}
     known = StructType.fromDDL(contract)
@@ -25,12 +26,14 @@ def conform(df: DataFrame, contract: str) -> DataFrame:
         source = present.pop(field.name.lower(), None)
         value = F.lit(None) if source is None else F.col(f"`{source}`")
         if source is None or df.schema[source].dataType != field.dataType:
-            value = value.cast(field.dataType)
+            value = value.try_cast(field.dataType) if lenient else value.cast(field.dataType)
         columns.append(value.alias(field.name))
     return df.select(*columns, *[F.col(f"`{name}`") for name in present.values()])
 
 
-def scan_months(spark: SparkSession, paths: list[str], contract: str = schemas.RAW_TRIP) -> DataFrame:
+def scan_months(
+    spark: SparkSession, paths: list[str], contract: str = schemas.RAW_TRIP, lenient: bool = False
+) -> DataFrame:
     """All files as one relation, plus the `source_file` each row came from.
 
     One reader over files of differing types fails when it runs, so files are
@@ -48,5 +51,5 @@ def scan_months(spark: SparkSession, paths: list[str], contract: str = schemas.R
     for schema, group in by_schema.values():
         files = spark.read.schema(schema).parquet(*group)
         files = files.select("*", F.col("_metadata.file_path").alias("source_file"))
-        scans.append(conform(files, contract))
+        scans.append(conform(files, contract, lenient))
     return reduce(lambda left, right: left.unionByName(right, allowMissingColumns=True), scans)

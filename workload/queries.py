@@ -20,7 +20,7 @@ from kerbline.sources.monthly import scan_months
 from kerbline.sources.tables import load_table, only_months, register_views
 from kerbline.sources.zones import scan_zone_csv
 from workload import stage
-from workload.relations import AIRPORT_FEE_SINCE, AIRPORTS, bronze_batch, raw_trips, zones_raw
+from workload.relations import AIRPORT_FEE_SINCE, AIRPORTS, zones_raw
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -58,8 +58,9 @@ def _zones(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stage.table(spark, sf_dir, "silver_zones")
 
 
-def _enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return silver.enriched_trips(_bronze(spark, sf_dir), _zones(spark, sf_dir))
+def _judged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Enriched trips without the columns no rule reads."""
+    return silver.enriched_trips(_bronze(spark, sf_dir), _zones(spark, sf_dir), carried=[])
 
 
 def _silver(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -162,9 +163,9 @@ def month_range(spark, sf_dir):
 
 
 def _manifest(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    requested = explode_months(stage.delivered_months(spark, sf_dir))
-    delivered = raw_trips(spark, sf_dir).select(F.col("file_month").alias("month"))
-    return requested, delivered.where(F.col("month") < AIRPORT_FEE_SINCE).distinct()
+    delivered = stage.delivered_months(spark, sf_dir)
+    bounds = delivered.agg(F.min("month").alias("start_month"), F.max("month").alias("end_month"))
+    return explode_months(bounds), delivered.where(F.col("month") < AIRPORT_FEE_SINCE)
 
 
 @query
@@ -184,9 +185,9 @@ def incremental_manifest_after(spark, sf_dir):
 @query
 def sink_append_batches(spark, sf_dir):
     path = stage.scratch_path(spark, "append")
-    raw = raw_trips(spark, sf_dir)
+    trips = _bronze(spark, sf_dir).select(*schemas.names(schemas.RAW_TRIP), "batch_id")
     for batch, batch_id in (("b1", "20240101000000"), ("b2", "20240201000000")):
-        append_batch(bronze_batch(raw, batch).withColumn("batch_id", F.lit(batch_id)), path)
+        append_batch(trips.where(F.col("batch_id") == batch).withColumn("batch_id", F.lit(batch_id)), path)
     table = load_table(spark, path, f"{schemas.RAW_TRIP}, batch_id string")
     return table.groupBy("batch_id", "payment_type").agg(
         F.count("*").alias("trip_count"), money_sum("total_amount").alias("total_amount")
@@ -371,7 +372,7 @@ def dedup_trips(spark, sf_dir):
 
 @query
 def dq_trip_checks(spark, sf_dir):
-    return quality.check_trips(_enriched(spark, sf_dir))
+    return quality.check_trips(_judged(spark, sf_dir))
 
 
 @query
@@ -381,7 +382,7 @@ def dq_silver_checks(spark, sf_dir):
 
 @query
 def dq_quarantine_counts(spark, sf_dir):
-    rejected = quality.quarantine(_enriched(spark, sf_dir))
+    rejected = quality.quarantine(_judged(spark, sf_dir))
     return rejected.select(F.explode("rejected_by").alias("rule")).groupBy("rule").agg(F.count("*").alias("row_count"))
 
 

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kerbline import Lake, TripLimits
+from kerbline.functions.trips import month_key
 from kerbline.plans import bronze, silver
 from kerbline.plans.incremental import TABLES, publish_gold, publish_silver
 from kerbline.sinks import append_batch, gather_months, replace_table
@@ -114,12 +115,10 @@ def month_files(spark: SparkSession, sf_dir: str) -> str:
 
 
 def delivered_months(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """First and last delivery month of all trips, one row."""
-    return raw_trips(spark, sf_dir).agg(
-        F.min("file_month").alias("start_month"), F.max("file_month").alias("end_month")
-    )
+    """The month of every delivery file, from the stored bronze trips."""
+    return table(spark, sf_dir, "yellow_trips").select(month_key("tpep_dropoff_datetime").alias("month")).distinct()
 
 
 def month_list(spark: SparkSession, sf_dir: str) -> list[str]:
     """Every delivery month, in order: the names of the monthly folders."""
-    return sorted(row.file_month for row in raw_trips(spark, sf_dir).select("file_month").distinct().collect())
+    return sorted(row.month for row in delivered_months(spark, sf_dir).collect())
