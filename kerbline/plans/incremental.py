@@ -94,10 +94,10 @@ def months_done(spark: SparkSession, lake: Lake) -> DataFrame:
         return spark.createDataFrame([], schemas.MONTHS_DONE)
 
 
-def run_together(*actions: Callable[[], None]) -> None:
+def run_together(spark: SparkSession, *actions: Callable[[], None]) -> None:
     """Submit independent jobs at once; raise if any of them failed."""
     with ThreadPoolExecutor(len(actions)) as pool:
-        for job in [pool.submit(inheritable_thread_target(action)) for action in actions]:
+        for job in [pool.submit(inheritable_thread_target(spark)(action)) for action in actions]:
             job.result()
 
 
@@ -144,6 +144,7 @@ def publish_gold(
         replace_table(mart, lake.path("trip_efficiency_mart"), lake.fmt)
 
     run_together(
+        spark,
         lambda: put(gold.demand_mart(fact), "demand_by_zone_hour_mart"),
         lambda: put(gold.airport_mart(fact, airports), "airport_trip_mart"),
         payments_and_revenue,
