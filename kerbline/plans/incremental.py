@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kerbline import schemas
+from kerbline.functions import trips as tf
 from kerbline.functions.months import explode_months, months_todo
 from kerbline.operators.quality import TripLimits, require_valid
 from kerbline.plans import bronze, gold, silver
@@ -24,6 +25,7 @@ TABLES = {
     "yellow_trips": ("bronze", schemas.BRONZE_TRIP),
     "taxi_zones": ("bronze", schemas.BRONZE_ZONE),
     "months_done": ("state", schemas.MONTHS_DONE),
+    "batch_months": ("state", schemas.BATCH_MONTHS),
     "silver_trips": ("silver", schemas.SILVER_TRIP),
     "silver_zones": ("silver", schemas.SILVER_ZONE),
     "dim_taxi_zones": ("gold", schemas.SILVER_ZONE),
@@ -101,14 +103,50 @@ def run_together(spark: SparkSession, *actions: Callable[[], None]) -> None:
             job.result()
 
 
+def note_batch_months(trips: DataFrame, lake: Lake, batch_id: str) -> None:
+    """Record which pickup months a batch holds, one row each.
+
+    Written before the batch itself: a batch missing from bronze costs nothing,
+    one missing from this table would hide its rows.
+    """
+    month = tf.month_key(F.to_date("tpep_pickup_datetime"))
+    held = trips.select(F.lit(batch_id).alias("batch_id"), month.alias("month")).distinct()
+    held.write.format(lake.fmt).mode("append").save(lake.path("batch_months"))
+
+
+def batches_holding(spark: SparkSession, lake: Lake, months: list[str]) -> list[str]:
+    """The batches with trips of these months: as many short ids as there were such loads."""
+    held = lake.read(spark, "batch_months").where(F.col("month").isin(months))
+    return sorted(row.batch_id for row in held.select("batch_id").distinct().collect())
+
+
+def spans_many(months: list[str] | None) -> bool:
+    """Whether rows should be gathered by month before a write.
+
+    Over a few months any task writes only a few files, each as large as adaptive
+    execution made the task; over a long history it would write one sliver per month.
+    """
+    return not months or len(months) > 3
+
+
 def publish_silver(
-    spark: SparkSession, lake: Lake, limits: TripLimits, months: list[str] | None = None, lenient: bool = False
+    spark: SparkSession,
+    lake: Lake,
+    limits: TripLimits,
+    months: list[str] | None = None,
+    lenient: bool = False,
+    batches: list[str] | None = None,
 ) -> None:
-    """Rebuild the silver months from every bronze batch, replacing only those months."""
-    trips = silver.silver_trips(
-        lake.read(spark, "yellow_trips"), lake.read(spark, "silver_zones"), limits, months, lenient
-    )
-    replace_months(trips, lake.path("silver_trips"), "pickup_month", months, lake.fmt)
+    """Rebuild the silver months from bronze, replacing only those months.
+
+    A month's trips may sit in any batch. `batches` names the ones that hold some;
+    the others' folders are then not opened. Without it all of bronze is read.
+    """
+    bronze_trips = lake.read(spark, "yellow_trips")
+    if batches is not None:
+        bronze_trips = bronze_trips.where(F.col("batch_id").isin(batches))
+    trips = silver.silver_trips(bronze_trips, lake.read(spark, "silver_zones"), limits, months, lenient)
+    replace_months(trips, lake.path("silver_trips"), "pickup_month", spans_many(months), lake.fmt)
 
 
 def publish_gold(
@@ -116,17 +154,18 @@ def publish_gold(
 ) -> None:
     """Write the fact once, then build each mart from the written fact.
 
-    Reading back costs each mart only its own columns and months. The marts do
+    The fact is written straight from the scan, which already comes month by
+    month. Reading back costs each mart only its own columns and months. The marts do
     not depend on each other, so their jobs are submitted together and one's last
     tasks do not leave the cluster idle. The efficiency mart covers all months
     and is averaged from its stored monthly parts.
     """
 
     def put(mart: DataFrame, table: str) -> None:
-        replace_months(mart, lake.path(table), "trip_month", months, lake.fmt)
+        replace_months(mart, lake.path(table), "trip_month", spans_many(months), lake.fmt)
 
     trips = only_months(lake.read(spark, "silver_trips"), months, "pickup_month")
-    put(gold.fact_trips(trips), "fact_taxi_trips")
+    replace_months(gold.fact_trips(trips), lake.path("fact_taxi_trips"), "trip_month", False, lake.fmt)
 
     fact = only_months(lake.read(spark, "fact_taxi_trips"), months, "trip_month")
 
@@ -186,6 +225,7 @@ def run_months(
 
         if months:
             files = scan_months(spark, [trip_files.format(month=month) for month in months], lenient=lenient)
+            note_batch_months(files, lake, batch_id)
             stamped = bronze.stamp_load(files, trip_source, batch_id)
             append_batch(stamped, lake.path("yellow_trips"), "batch_id", lake.fmt)
 
@@ -195,7 +235,7 @@ def run_months(
         replace_table(lake.read(spark, "silver_zones"), lake.path("dim_taxi_zones"), lake.fmt)
 
         if months:
-            publish_silver(spark, lake, limits, months, lenient)
+            publish_silver(spark, lake, limits, months, lenient, batches_holding(spark, lake, months))
             written = lake.read(spark, "silver_trips")
             require_valid(only_months(written, None if recheck_all_months else months, "pickup_month"), limits)
             publish_gold(spark, lake, months, airports)

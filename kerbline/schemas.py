@@ -60,6 +60,7 @@ EFFICIENCY_PARTS = (
     "mile_fare_sum double, mile_fare_n bigint, minute_fare_sum double, minute_fare_n bigint, trip_month string"
 )
 MONTHS_DONE = "month string"
+BATCH_MONTHS = "batch_id string, month string"
 
 
 def names(ddl: str) -> list[str]:

@@ -2,11 +2,6 @@
 
 from pyspark.sql import DataFrame
 
-# Up to this many months a task of any clustering writes only as many files, and
-# adaptive execution has already sized the tasks; beyond it, rows are gathered by month first.
-DIRECT_WRITE_MONTHS = 3
-
-
 def gather_months(df: DataFrame, column: str) -> DataFrame:
     """Bring rows of a month together before a partitioned write.
 
@@ -27,15 +22,14 @@ def replace_table(df: DataFrame, path: str, fmt: str = "parquet") -> None:
     df.write.format(fmt).mode("overwrite").option("partitionOverwriteMode", "static").save(path)
 
 
-def replace_months(
-    df: DataFrame, path: str, column: str, months: list[str] | None = None, fmt: str = "parquet"
-) -> None:
+def replace_months(df: DataFrame, path: str, column: str, gather: bool = True, fmt: str = "parquet") -> None:
     """Replace the months present in `df` and leave every other month alone.
 
-    `months` says how many months the rows span, when the caller knows. The
-    overwrite mode is an option of this write; the session keeps its own.
+    `gather=False` saves the shuffle where rows already come month by month or
+    span only a few months. The overwrite mode is an option of this write; the
+    session keeps its own.
     """
-    if not months or len(months) > DIRECT_WRITE_MONTHS:
+    if gather:
         df = gather_months(df, column)
     (
         df.write.format(fmt)

@@ -2,11 +2,12 @@
 
 import pytest
 from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
 
 from conftest import SMALL
 from kerbline import Lake, TripLimits, run_months
 from kerbline.plans import gold
-from kerbline.plans.incremental import PUBLISHED, session_zone
+from kerbline.plans.incremental import PUBLISHED, batches_holding, session_zone
 from kerbline.sources.tables import register_views
 from workload import stage
 from workload.queries import incremental_lake
@@ -51,6 +52,15 @@ def test_batches_and_months_are_recorded(spark, lake):
     assert sorted(r.month for r in lake.read(spark, "months_done").collect()) == ["1999-06", "1999-07", "1999-08"]
 
 
+def test_only_batches_holding_a_month_are_read(spark, lake):
+    held = {(r.batch_id, r.month) for r in lake.read(spark, "batch_months").collect()}
+    bronze = lake.read(spark, "yellow_trips")
+    month = F.date_format("tpep_pickup_datetime", "yyyy-MM")
+    assert held == set(map(tuple, bronze.select("batch_id", month).distinct().collect()))
+    assert batches_holding(spark, lake, ["1999-06"]) == ["run1"]
+    assert batches_holding(spark, lake, ["2031-01"]) == []
+
+
 def test_mart_totals_agree_with_the_fact(spark, lake):
     tables = lake.published(spark)
     trips = tables["fact_taxi_trips"].count()

@@ -72,7 +72,7 @@ def test_replace_months_leaves_other_months_and_the_session_alone(spark, tmp_pat
     path = f"{tmp_path}/silver"
     before = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
     replace_months(_month_rows(spark, a=[1, 2], b=[3], c=[4]), path, "m")
-    replace_months(_month_rows(spark, b=[30, 31]), path, "m", months=["b"])
+    replace_months(_month_rows(spark, b=[30, 31]), path, "m", gather=False)
     table = load_table(spark, path, "v int, m string")
     assert sorted(map(tuple, table.collect())) == [(1, "a"), (2, "a"), (4, "c"), (30, "b"), (31, "b")]
     assert spark.conf.get("spark.sql.sources.partitionOverwriteMode") == before
