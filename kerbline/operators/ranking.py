@@ -15,28 +15,27 @@ def top_dense_rank(df: DataFrame, measure: str, tie_break: list[str], k: int, ra
     return top.withColumn(rank, F.dense_rank().over(Window.orderBy(F.desc_nulls_last(measure))))
 
 
-def _magnitude(measure: str) -> Column:
-    """A coarse bucket that never decreases as the measure grows (about a power of two)."""
-    return (F.signum(measure) * F.floor(F.log2(F.abs(F.col(measure)) + F.lit(1.0)))).cast("int")
+def _narrow_bucket(value: str) -> Column:
+    """A bucket about 1% wide that never decreases as the value grows; NULL for NULL."""
+    return (F.signum(value) * F.floor(F.log2(F.abs(F.col(value)) + F.lit(1.0)) * F.lit(64.0))).cast("int")
 
 
 def dense_rank_desc(df: DataFrame, measure: str, rank: str) -> DataFrame:
     """Dense rank of every row by a numeric measure, highest first, in parallel.
 
-    Rows are ranked inside magnitude buckets; a bucket's ranks start after the
-    number of distinct values in the buckets above it. That offset table has one
-    row per power of two, which bounds it whatever the data. Rows with a NULL
-    measure share the last rank.
+    Distinct values are numbered inside narrow buckets and start after the values
+    of the buckets above; rows then look their value's rank up. A value that many
+    rows share is numbered once, and a bucket holds no more values than lie in
+    its range. The offset table has one row per bucket: 64 per power of two, at
+    most some 130,000 for any double. NULLs share the last rank.
     """
-    bucketed = df.withColumn("_bucket", _magnitude(measure))
-    inside = F.dense_rank().over(Window.partitionBy("_bucket").orderBy(F.desc(measure)))
-    distinct = bucketed.select("_bucket", measure).distinct().groupBy("_bucket").agg(F.count("*").alias("_n"))
-    above = Window.orderBy(F.desc_nulls_last("_bucket")).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = distinct.select(
-        F.col("_bucket").alias("_of"), F.coalesce(F.sum("_n").over(above), F.lit(0)).alias("_above")
-    )
-    ranked = bucketed.withColumn("_inside", inside)
-    joined = ranked.join(F.broadcast(offsets), F.col("_bucket").eqNullSafe(F.col("_of")))
-    return joined.withColumn(rank, (F.col("_above") + F.col("_inside")).cast("int")).drop(
-        "_bucket", "_inside", "_of", "_above"
+    values = df.select(F.col(measure).alias("_value")).distinct().withColumn("_bucket", _narrow_bucket("_value"))
+    inside = F.row_number().over(Window.partitionBy("_bucket").orderBy(F.desc_nulls_last("_value")))
+    above = F.sum("_n").over(Window.orderBy(F.desc_nulls_last("_bucket")).rowsBetween(Window.unboundedPreceding, -1))
+    offsets = values.groupBy("_bucket").agg(F.count("*").alias("_n"))
+    offsets = offsets.select(F.col("_bucket").alias("_of"), F.coalesce(above, F.lit(0)).alias("_above"))
+    ranks = values.withColumn("_inside", inside).join(
+        F.broadcast(offsets), F.col("_bucket").eqNullSafe(F.col("_of"))
     )
+    ranks = ranks.select("_value", (F.col("_above") + F.col("_inside")).cast("int").alias(rank))
+    return df.join(ranks, F.col(measure).eqNullSafe(F.col("_value"))).drop("_value")

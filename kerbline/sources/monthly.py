@@ -9,7 +9,7 @@ from pyspark.sql.types import StructType
 
 from kerbline import schemas
 
-_FOOTER_READERS = 8
+_SCHEMA_JOBS = 8
 
 
 def conform(df: DataFrame, contract: str, lenient: bool = False) -> DataFrame:
@@ -31,24 +31,40 @@ def conform(df: DataFrame, contract: str, lenient: bool = False) -> DataFrame:
     return df.select(*columns, *[F.col(f"`{name}`") for name in present.values()])
 
 
+def _merged_schema(spark: SparkSession, paths: list[str]) -> StructType:
+    return spark.read.option("mergeSchema", True).parquet(*paths).schema
+
+
+def _group_by_schema(spark: SparkSession, paths: list[str]) -> list[tuple[StructType, list[str]]]:
+    """The fewest groups of paths that one reader each can scan, with their schema.
+
+    Footers are merged by a Spark job over all files. Months that only add columns
+    make one group; where types conflict, every month is asked for its own schema.
+    """
+    try:
+        return [(_merged_schema(spark, paths), paths)]
+    except Exception as conflict:
+        if "CANNOT_MERGE_SCHEMAS" not in str(conflict):
+            raise
+    with ThreadPoolExecutor(_SCHEMA_JOBS) as jobs:
+        found = list(jobs.map(lambda path: _merged_schema(spark, [path]), paths))
+    groups: dict[str, tuple[StructType, list[str]]] = {}
+    for path, schema in zip(paths, found):
+        groups.setdefault(schema.json(), (schema, []))[1].append(path)
+    return list(groups.values())
+
+
 def scan_months(
     spark: SparkSession, paths: list[str], contract: str = schemas.RAW_TRIP, lenient: bool = False
 ) -> DataFrame:
     """All files as one relation, plus the `source_file` each row came from.
 
-    One reader over files of differing types fails when it runs, so files are
-    grouped by the schema in their footer: one scan per distinct schema, however
-    many files share it, each cast to the contract and then united by name. Only
-    footers are read here, a few at a time.
+    One reader over files of conflicting types fails when it runs, so there is one
+    scan per group of months that agree, each cast to the contract and then united
+    by name. Only footers are read here.
     """
-    with ThreadPoolExecutor(_FOOTER_READERS) as readers:
-        found = list(readers.map(lambda path: spark.read.parquet(path).schema, paths))
-    by_schema: dict[str, tuple[StructType, list[str]]] = {}
-    for path, schema in zip(paths, found):
-        by_schema.setdefault(schema.json(), (schema, []))[1].append(path)
-
     scans = []
-    for schema, group in by_schema.values():
+    for schema, group in _group_by_schema(spark, paths):
         files = spark.read.schema(schema).parquet(*group)
         files = files.select("*", F.col("_metadata.file_path").alias("source_file"))
         scans.append(conform(files, contract, lenient))

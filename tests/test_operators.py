@@ -107,14 +107,20 @@ def _dense_ranks(values):
 
 def test_parallel_dense_rank(spark):
     values = [0.0, 0.5, 1.0, 1.0, 3.99, 4.0, -0.5, -7.0, -7.0, -1e9, 1e12, 1e12, 2.0**20, 2.0**20 - 0.01, None, None]
-    values += [float(v * v % 997) for v in range(400)]
+    values += [float(v * v % 997) for v in range(400)] + [5.0] * 200
     df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "id int, v double").repartition(5)
     expected = _dense_ranks(values)
     rows = dense_rank_desc(df, "v", "place").collect()
-    assert len(rows) == len(values)
+    assert sorted(row.id for row in rows) == list(range(len(values)))
     assert all(row.place == expected[row.v] for row in rows)
 
 
+def test_parallel_dense_rank_of_one_value_and_of_nothing(spark):
+    same = spark.range(10).withColumn("v", F.lit(3.0))
+    assert {row.place for row in dense_rank_desc(same, "v", "place").collect()} == {1}
+    assert dense_rank_desc(same.limit(0), "v", "place").collect() == []
+
+
 def test_top_dense_rank_counts_rows_and_breaks_ties(spark):
     df = spark.createDataFrame([("b", 5), ("a", 5), ("c", 9), ("d", 1), ("e", 5)], "name string, n int")
     rows = top_dense_rank(df, "n", ["name"], 3, "place").collect()

@@ -30,6 +30,14 @@ def test_monthly_scan_reconciles_types_spelling_and_missing_columns(spark, tmp_p
     assert fees == {("old", None, None), ("mid", 1.25, None), ("mid2", 1.25, None), ("new", 2.0, 0.75)}
 
 
+def test_months_that_only_add_columns_are_one_scan(spark, tmp_path):
+    first = _file(spark, f"{tmp_path}/first", {"VendorID": "id"})
+    second = _file(spark, f"{tmp_path}/second", {"VendorID": "id", "Airport_fee": "1.5D"})
+    trips = scan_months(spark, [first, second])
+    assert trips._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
+    assert sorted(r.Airport_fee or 0.0 for r in trips.collect()) == [0.0, 0.0, 1.5, 1.5]
+
+
 def test_malformed_values_raise_or_become_null(spark):
     raw = spark.createDataFrame(
         [("2024-01-01 10:00:00", "5"), ("yesterday", "many")], "tpep_pickup_datetime string, PULocationID string"
