@@ -103,15 +103,17 @@ def run_together(spark: SparkSession, *actions: Callable[[], None]) -> None:
             job.result()
 
 
-def note_batch_months(trips: DataFrame, lake: Lake, batch_id: str) -> None:
-    """Record which pickup months a batch holds, one row each.
+def land_trips(trips: DataFrame, lake: Lake, source_name: str, batch_id: str) -> None:
+    """Append a batch of scanned trips to bronze; every load into a lake goes through here.
 
-    Written before the batch itself: a batch missing from bronze costs nothing,
-    one missing from this table would hide its rows.
+    The pickup months the batch holds are recorded first, one row each: a batch
+    noted but missing from bronze costs nothing, one in bronze but not noted
+    would be overlooked by later runs.
     """
     month = tf.month_key(F.to_date("tpep_pickup_datetime"))
     held = trips.select(F.lit(batch_id).alias("batch_id"), month.alias("month")).distinct()
     held.write.format(lake.fmt).mode("append").save(lake.path("batch_months"))
+    append_batch(bronze.stamp_load(trips, source_name, batch_id), lake.path("yellow_trips"), "batch_id", lake.fmt)
 
 
 def batches_holding(spark: SparkSession, lake: Lake, months: list[str]) -> list[str]:
@@ -225,9 +227,7 @@ def run_months(
 
         if months:
             files = scan_months(spark, [trip_files.format(month=month) for month in months], lenient=lenient)
-            note_batch_months(files, lake, batch_id)
-            stamped = bronze.stamp_load(files, trip_source, batch_id)
-            append_batch(stamped, lake.path("yellow_trips"), "batch_id", lake.fmt)
+            land_trips(files, lake, trip_source, batch_id)
 
         lookup = bronze.stamp_load(scan_zone_csv(spark, zone_csv), zone_source, batch_id, zone_csv)
         replace_table(lookup, lake.path("taxi_zones"), lake.fmt)

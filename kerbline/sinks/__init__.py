@@ -1,6 +1,14 @@
-"""Writers: append a batch, replace a table, replace some months."""
+"""Writers: append a batch, replace a table, replace some months.
+
+Columns new to a table are accepted on every write: formats that keep a table
+schema need the mergeSchema option for that, plain Parquet does not look at it.
+"""
+
+from pyspark.sql import DataFrame, DataFrameWriter
+
+def _writer(df: DataFrame, fmt: str, mode: str) -> DataFrameWriter:
+    return df.write.format(fmt).mode(mode).option("mergeSchema", True)
 
-from pyspark.sql import DataFrame
 
 def gather_months(df: DataFrame, column: str) -> DataFrame:
     """Bring rows of a month together before a partitioned write.
@@ -14,12 +22,12 @@ def gather_months(df: DataFrame, column: str) -> DataFrame:
 
 def append_batch(df: DataFrame, path: str, batch_column: str = "batch_id", fmt: str = "parquet") -> None:
     """Add a load; the table is the union of its batches."""
-    df.write.format(fmt).mode("append").partitionBy(batch_column).save(path)
+    _writer(df, fmt, "append").partitionBy(batch_column).save(path)
 
 
 def replace_table(df: DataFrame, path: str, fmt: str = "parquet") -> None:
     """Replace the whole unpartitioned table."""
-    df.write.format(fmt).mode("overwrite").option("partitionOverwriteMode", "static").save(path)
+    _writer(df, fmt, "overwrite").option("partitionOverwriteMode", "static").save(path)
 
 
 def replace_months(df: DataFrame, path: str, column: str, gather: bool = True, fmt: str = "parquet") -> None:
@@ -31,10 +39,4 @@ def replace_months(df: DataFrame, path: str, column: str, gather: bool = True, f
     """
     if gather:
         df = gather_months(df, column)
-    (
-        df.write.format(fmt)
-        .mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(column)
-        .save(path)
-    )
+    _writer(df, fmt, "overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(column).save(path)
