@@ -20,6 +20,10 @@ from kerbline.sources.monthly import scan_months
 from kerbline.sources.tables import load_table, only_months
 from kerbline.sources.zones import scan_zone_csv
 
+# Source names stamped on bronze rows unless the caller gives others.
+TRIP_SOURCE = "nyc_tlc_yellow_trips"
+ZONE_SOURCE = "nyc_tlc_taxi_zone_lookup"
+
 # Table name -> (layer, column contract).
 TABLES = {
     "yellow_trips": ("bronze", schemas.BRONZE_TRIP),
@@ -204,10 +208,11 @@ def run_months(
     limits: TripLimits = TripLimits(),
     airports: tuple[str, ...] = gold.AIRPORTS,
     zone: str = "UTC",
-    trip_source: str = "nyc_tlc_yellow_trips",
-    zone_source: str = "nyc_tlc_taxi_zone_lookup",
+    trip_source: str = TRIP_SOURCE,
+    zone_source: str = ZONE_SOURCE,
     lenient: bool = False,
     recheck_all_months: bool = False,
+    months_per_pass: int | None = None,
 ) -> RunReport:
     """Load the months of start..end that no earlier run finished.
 
@@ -217,6 +222,10 @@ def run_months(
     or the whole silver table with `recheck_all_months`. Months are recorded as
     done last, after gold: a run that fails is simply run again, and the rows it
     already appended to bronze are duplicates that the later batch replaces.
+
+    `months_per_pass` builds and records a long range in slices once all its files
+    are in bronze: no shuffle is larger than a slice, and a failure costs one
+    slice. The dedup key holds the pickup time, so slices give the same tables.
     """
     report = RunReport((start, end))
     with session_zone(spark, zone):
@@ -234,12 +243,13 @@ def run_months(
         replace_table(silver.silver_zones(lake.read(spark, "taxi_zones")), lake.path("silver_zones"), lake.fmt)
         replace_table(lake.read(spark, "silver_zones"), lake.path("dim_taxi_zones"), lake.fmt)
 
-        if months:
-            publish_silver(spark, lake, limits, months, lenient, batches_holding(spark, lake, months))
+        size = months_per_pass or max(len(months), 1)
+        for part in (months[i : i + size] for i in range(0, len(months), size)):
+            publish_silver(spark, lake, limits, part, lenient, batches_holding(spark, lake, part))
             written = lake.read(spark, "silver_trips")
-            require_valid(only_months(written, None if recheck_all_months else months, "pickup_month"), limits)
-            publish_gold(spark, lake, months, airports)
-            finished = spark.createDataFrame([(month,) for month in months], schemas.MONTHS_DONE)
+            require_valid(only_months(written, None if recheck_all_months else part, "pickup_month"), limits)
+            publish_gold(spark, lake, part, airports)
+            finished = spark.createDataFrame([(month,) for month in part], schemas.MONTHS_DONE)
             finished.coalesce(1).write.format(lake.fmt).mode("append").save(lake.path("months_done"))
-            report.loaded = months
+            report.loaded += part
     return report

@@ -5,9 +5,10 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from conftest import SMALL
-from kerbline import Lake, TripLimits, run_months
+from kerbline import Lake, TripLimits, run_months, schemas
 from kerbline.plans import gold
-from kerbline.plans.incremental import PUBLISHED, batches_holding, session_zone
+from kerbline.plans.incremental import PUBLISHED, batches_holding, land_trips, session_zone
+from kerbline.sources.monthly import conform
 from kerbline.sources.tables import register_views
 from workload import stage
 from workload.queries import incremental_lake
@@ -129,6 +130,27 @@ def test_failed_run_is_repeated_without_doubling_trips(spark, tmp_path, zone_csv
     assert {r.batch_id for r in lake.read(spark, "silver_trips").collect()} == {"b"}
 
 
+def test_slices_give_the_same_tables(spark, tmp_path, zone_csv):
+    whole, sliced = Lake(f"{tmp_path}/whole"), Lake(f"{tmp_path}/sliced")
+    for lake, size in ((whole, None), (sliced, 2)):
+        loaded = _run(spark, lake, zone_csv, "a", "1999-05", "1999-09", months_per_pass=size).loaded
+        assert loaded == ["1999-05", "1999-06", "1999-07", "1999-08", "1999-09"]
+    for name in PUBLISHED:
+        drop = ["ingestion_timestamp"]
+        assert _rows(whole.read(spark, name).drop(*drop)) == _rows(sliced.read(spark, name).drop(*drop)), name
+    assert sliced.read(spark, "months_done").count() == 5
+
+
+def test_columns_unknown_to_the_contract_stay_in_bronze(spark, tmp_path):
+    lake = Lake(f"{tmp_path}/lake")
+    for batch_id, columns in (("b1", ["id AS VendorID"]), ("b2", ["id AS VendorID", "0.75D AS added_fee"])):
+        trips = conform(spark.range(1).selectExpr(*columns), schemas.RAW_TRIP)
+        land_trips(trips.withColumn("source_file", F.lit("file")), lake, "trips", batch_id)
+    stored = spark.read.option("mergeSchema", True).parquet(lake.path("yellow_trips"))
+    assert sorted((r.batch_id, r.added_fee) for r in stored.collect()) == [("b1", None), ("b2", 0.75)]
+    assert lake.read(spark, "yellow_trips").count() == 2
+
+
 def test_gate_can_recheck_months_of_earlier_runs(spark, tmp_path, zone_csv):
     lake = Lake(f"{tmp_path}/lake")
     _run(spark, lake, zone_csv, "a")
