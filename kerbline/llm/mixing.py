@@ -16,7 +16,7 @@ from kerbline.llm.stage import WORD, store, word_count
 
 BLOCK_WORDS = 256
 SHARD_SLOTS = 4096
-CHUNK_ROWS = 20_000
+CHUNK_ROWS = 2_000
 ROUNDS = 12
 MOST = 3
 
@@ -103,13 +103,14 @@ def mixed_slots(targets: DataFrame, block_words: int = BLOCK_WORDS, shard_slots:
     every = F.sum("slots").over(W.orderBy("rank").rowsBetween(W.unboundedPreceding, W.unboundedFollowing))
     planned = planned.withColumn("shards", F.ceil(every / shard_slots).cast("long"))
     parts = planned.withColumn("part", F.explode(F.expr(f"sequence(0L, slots - 1, {shard_slots}L)")))
-    draws = parts.withColumn("draw", F.explode(F.expr(f"sequence(part, least(part + {shard_slots - 1}L, slots - 1))")))
+    tasks = int(targets.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # few rows here, many after the next step
+    draws = parts.repartition(tasks).withColumn("draw", F.explode(F.expr(f"sequence(part, least(part + {shard_slots - 1}L, slots - 1))")))
     shard = F.pmod(F.xxhash64(F.lit(seed), F.lit("shard"), "rank", "draw"), F.col("shards"))
     keys = ["rank", "wanted", "blocks", "passes", "rest"]
     counts = draws.groupBy(*keys, shard.alias("shard")).agg(F.count(F.lit(1)).alias("drawn"))
     before = W.partitionBy("rank").orderBy("shard").rowsBetween(W.unboundedPreceding, -1)
     numbered = counts.withColumn("first", F.coalesce(F.sum("drawn").over(before), F.lit(0)))
-    slots = numbered.withColumn("slot", F.explode(F.expr("sequence(first, first + drawn - 1)")))
+    slots = numbered.repartition(tasks).withColumn("slot", F.explode(F.expr("sequence(first, first + drawn - 1)")))
     done = F.col("slot") - F.col("passes") * F.col("blocks")
     takes = F.when(done < 0, F.lit(block_words)).otherwise(F.least(F.lit(block_words), F.col("rest") - done * block_words))
     block = permuted(F.col("slot") % F.col("blocks"), F.col("blocks"), F.xxhash64(F.lit(seed), F.col("rank")))
@@ -130,8 +131,11 @@ def document_blocks(docs: DataFrame, id_col: str, text_col: str, source_col: str
     targets = store(source_targets(sizes))
     slots = mixed_slots(targets, block_words, seed=seed)
     whole = F.col("takes") == block_words
-    uses = slots.groupBy("rank", "block").agg(
-        F.count(F.when(whole, 1)).alias("full"), F.coalesce(F.max(F.when(~whole, F.col("takes"))), F.lit(0)).alias("part")
+    # Stored, since a plan takes exploded rows to be as few as those they were made from, and would broadcast them.
+    uses = store(
+        slots.groupBy("rank", "block").agg(
+            F.count(F.when(whole, 1)).alias("full"), F.coalesce(F.max(F.when(~whole, F.col("takes"))), F.lit(0)).alias("part")
+        )
     )
     known = targets.select(F.col("source").alias("s"), "rank", "source_size", "target")
     docs_placed = store(placed(sizes).join(known, F.col("source").eqNullSafe(F.col("s"))).drop("s"))
