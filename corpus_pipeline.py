@@ -6,12 +6,23 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kerbline.llm import mixing, token_files
+from kerbline.llm import mixing, near_dedup, token_files, toxicity
 from kerbline.llm.stage import store, table
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the toxicity classifier does not reject; it is trained on the labelled ones among them."""
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"))
+    return toxicity.keep_clean(docs, model)
+
+
+def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each class of near duplicates the document with the smallest id."""
+    return near_dedup.keep_one(docs)
+
+
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents of the mix, repeated where a source is drawn on more than once."""
     return mixing.mixed_documents(docs)
@@ -23,6 +34,8 @@ def write_token_files(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 STAGES: list[tuple[str, Stage]] = [
+    ("toxicity", drop_toxic),
+    ("MinHash near-dedup", keep_one_of_each),
     ("mixing sources to target weights", mix),
     ("token-ID / binary output", write_token_files),
 ]

@@ -11,6 +11,9 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import zstandard
+from pyspark.sql import DataFrame
+from pyspark.sql.types import BinaryType, StructField, StructType
 
 _BASE = 0x9E3779B97F4A7C15 | 1
 _BYTE_VALUES = np.random.default_rng(20240611).integers(1, 2**63, 256, dtype=np.uint64)
@@ -113,3 +116,23 @@ def shingles(hashes: np.ndarray, firsts: np.ndarray, size: int = 5) -> tuple[np.
             value = mix(value * np.uint64(0x100000001B3) + one)
         total[firsts[row]], keep[firsts[row]] = value[0], True
     return total[keep], ends
+
+
+def packed_texts(rows: DataFrame, text: str = "text") -> DataFrame:
+    """Replace the text column by `packed`, its UTF-8 bytes under zstd: what is shuffled of it is less than half as much
+    as under Spark's own codec, which sees rows in small blocks. A null is packed as an empty text."""
+    others = [name for name in rows.columns if name != text]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pack = zstandard.ZstdCompressor(level=3).compress
+        for batch in batches:
+            packed = [pack((value or "").encode()) for value in batch.column(text).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*(batch.column(name) for name in others), pa.array(packed, pa.binary())], [*others, "packed"])
+
+    kept = [field for field in rows.schema if field.name != text]
+    return rows.select(*others, text).mapInArrow(run, StructType([*kept, StructField("packed", BinaryType())]))
+
+
+def unpacked(column: pa.Array) -> pa.Array:
+    unpack = zstandard.ZstdDecompressor().decompress
+    return pa.array([unpack(value) for value in column.to_pylist()], pa.large_binary()).cast(pa.large_string())

@@ -5,13 +5,18 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from kerbline.llm import mixing, token_files
+from kerbline.llm import mixing, near_dedup, token_files, toxicity
 from kerbline.llm.stage import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_classes(table(spark, sf_dir, "documents"))
+
+
 def op3_token_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     segments = token_files.write_tokens(table(spark, sf_dir, "documents"), token_files.default_tokenizer())
     return token_files.read_tokens(segments)
@@ -21,6 +26,13 @@ def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(table(spark, sf_dir, "documents"))
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"))
+    scored = toxicity.score_texts(docs, model)
+    return scored.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
 def queries() -> dict[str, Query]:
     return {name: query for name, query in globals().items() if name.startswith("op") and callable(query)}
 
