@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from kerbline.llm import mixing, near_dedup, token_files, toxicity
-from kerbline.llm.stage import store, table
+from kerbline.llm.stage import let_workers_import, store, table
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -46,6 +46,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over documents; each result is written as Parquet and read again."""
+    let_workers_import(spark)
     docs = table(spark, sf_dir, "documents")
     for _, stage in STAGES[:-1]:
         docs = store(stage(spark, docs, sf_dir))

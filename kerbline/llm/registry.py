@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kerbline.llm import mixing, near_dedup, token_files, toxicity
-from kerbline.llm.stage import table
+from kerbline.llm.stage import let_workers_import, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -33,8 +34,17 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
 
 
+def _with_workers(query: Query) -> Query:
+    @wraps(query)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        let_workers_import(spark)
+        return query(spark, sf_dir)
+
+    return run
+
+
 def queries() -> dict[str, Query]:
-    return {name: query for name, query in globals().items() if name.startswith("op") and callable(query)}
+    return {name: _with_workers(query) for name, query in globals().items() if name.startswith("op") and callable(query)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 import uuid
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,6 +20,16 @@ def shared_folder(spark: SparkSession) -> str:
     return base.rstrip("/")
 
 
+def let_workers_import(spark: SparkSession) -> None:
+    """Put this package's folder on the path of Python workers started from now on. Where executors do not see it, the
+    package has to be installed there, as for any job."""
+    root = str(Path(__file__).resolve().parents[2])
+    environment = spark.sparkContext.environment
+    paths = environment.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([root, *filter(None, paths)])
+
+
 def store(frame: DataFrame) -> DataFrame:
     """Write a frame once and read it back: later steps neither repeat the work nor depend on an executor's memory."""
     spark = frame.sparkSession

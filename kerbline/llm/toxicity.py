@@ -161,13 +161,15 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     classes among the labels the model is empty and gives every text the share of toxic labels (0.1 if there is none)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = pa.Table.from_batches(batches, pa.schema([("doc_id", pa.int64()), ("y", pa.int64()), ("weight", pa.float64()), ("text", pa.string())]))
-        rows = rows.sort_by("doc_id").combine_chunks()
+        held = list(batches)
+        if not held:
+            return
+        rows = pa.Table.from_batches(held).sort_by("doc_id").combine_chunks()
         y, weight = rows["y"].to_numpy().astype(float), rows["weight"].to_numpy()
         if len(y) and 0 < y.sum() < len(y):
-            table, bias = fit(rows["text"].combine_chunks() if isinstance(rows["text"], pa.ChunkedArray) else rows["text"], y, weight / weight.mean())
+            table, bias = fit(rows["text"].combine_chunks(), y, weight / weight.mean())
         else:
-            share = np.clip(y.mean() if len(y) else 0.1, 0.01, 0.99)
+            share = np.clip(y.mean(), 0.01, 0.99)
             table, bias = np.zeros(BUCKETS, np.float32), float(np.log(share / (1 - share)))
         yield pa.RecordBatch.from_pylist([{"weights": table.tobytes(), "bias": bias}], pa.schema([("weights", pa.binary()), ("bias", pa.float64())]))
 
