@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kerbline.llm import mixing, near_dedup, token_files, toxicity
+from kerbline.llm import decontamination, mixing, near_dedup, token_files, toxicity
 from kerbline.llm.stage import let_workers_import, store, table
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -23,6 +23,11 @@ def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     return near_dedup.keep_one(docs)
 
 
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a benchmark item."""
+    return decontamination.without_items(docs, table(spark, sf_dir, "benchmark"))
+
+
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents of the mix, repeated where a source is drawn on more than once."""
     return mixing.mixed_documents(docs)
@@ -36,6 +41,7 @@ def write_token_files(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 STAGES: list[tuple[str, Stage]] = [
     ("toxicity", drop_toxic),
     ("MinHash near-dedup", keep_one_of_each),
+    ("benchmark decontamination", drop_contaminated),
     ("mixing sources to target weights", mix),
     ("token-ID / binary output", write_token_files),
 ]

@@ -21,6 +21,7 @@ _LOWER_VALUES = _BYTE_VALUES.copy()
 _LOWER_VALUES[65:91] = _BYTE_VALUES[97:123]
 _IS_SPACE = np.zeros(256, bool)
 _IS_SPACE[[0x20, *range(0x09, 0x0E)]] = True
+_IS_MARK = np.array([code < 128 and not chr(code).isalnum() for code in range(256)])
 _powers: dict[int, np.ndarray] = {}
 
 
@@ -78,9 +79,10 @@ def range_hash(prefix: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.nda
     return mix((prefix[end] - prefix[start]) * inverse[start])
 
 
-def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Starts and ends of all words (runs without white space, never over two texts), and each text's first word."""
-    solid = ~_IS_SPACE[data]
+def words(data: np.ndarray, offsets: np.ndarray, plain: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts and ends of all words (runs without white space, or if `plain` without ASCII punctuation too, never over
+    two texts), and each text's first word."""
+    solid = ~(_IS_MARK if plain else _IS_SPACE)[data]
     before, after = np.zeros_like(solid), np.zeros_like(solid)
     before[1:], after[:-1] = solid[:-1], solid[1:]
     inner = offsets[:-1][offsets[:-1] < len(data)]
@@ -90,9 +92,9 @@ def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return starts, np.flatnonzero(solid & ~after) + 1, np.searchsorted(starts, offsets)
 
 
-def word_hashes(data: np.ndarray, offsets: np.ndarray, lower: bool = False) -> tuple[np.ndarray, np.ndarray]:
+def word_hashes(data: np.ndarray, offsets: np.ndarray, lower: bool = False, plain: bool = False) -> tuple[np.ndarray, np.ndarray]:
     """A 64-bit value of each word and the n + 1 word offsets of the texts."""
-    starts, ends, firsts = words(data, offsets)
+    starts, ends, firsts = words(data, offsets, plain)
     return range_hash(prefix_hash(data, lower), starts, ends), firsts
 
 
