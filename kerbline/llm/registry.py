@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kerbline.llm import decontamination, fingerprints, mixing, near_dedup, token_files, toxicity
+from kerbline.llm import decontamination, fingerprints, language_model, mixing, near_dedup, token_files, toxicity
 from kerbline.llm.stage import let_workers_import, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -31,6 +31,10 @@ def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprint_documents(table(spark, sf_dir, "documents"))
 
 
+def op8_score_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_model.score_documents(table(spark, sf_dir, "documents"))
+
+
 def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(table(spark, sf_dir, "documents"))
 
