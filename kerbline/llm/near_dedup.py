@@ -6,8 +6,9 @@ agree in a band if they share those shingles and their order: likely at a small
 a band are candidates. A candidate pair is aligned: with m matches in the longest common subsequence of the two
 shingle sequences, inside the band that a similarity of `least` allows, its similarity is m / (a + b - m).
 
-Buckets are never expanded into all pairs. The smallest member is compared with all others; what that leaves unlinked in
-a small bucket is compared pair by pair, and a large one is split by agreement in a further band, again and again.
+Buckets are never expanded into all pairs. The smallest and the largest member are compared with all others. A bucket
+that this leaves in several classes goes to one task with its texts, which looks for all links that are missing, if it
+is of bounded size; a larger one is split by agreement in a further band, again and again.
 """
 
 from __future__ import annotations
@@ -19,6 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from kerbline.llm.blobs import rows_by_key
 from kerbline.llm.components import components
 from kerbline.llm.hashing import mix, packed_texts, shingles, slices, text_bytes, unpacked, word_hashes
 from kerbline.llm.stage import store
@@ -27,8 +29,8 @@ BANDS = 16
 TUPLE = 3
 SHINGLE = 5
 LEAST = 0.8
-#: A bucket of up to so many texts is compared pair by pair where its texts are not linked yet.
-SMALL = 16
+#: A bucket whose number of texts times its number of shingles is at most this is settled in one task.
+WORK = 1_000_000_000
 
 _SEEDS = mix(np.arange(1, BANDS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
@@ -70,10 +72,11 @@ def sketches(rows: DataFrame) -> DataFrame:
                 values = labelled(values, ends)
                 keys = np.stack([order_sketch(values[a:b]) for a, b in zip(ends[:-1], ends[1:], strict=True)]).view(np.int64)
                 lists = pa.ListArray.from_arrays(pa.array(np.arange(len(keys) + 1, dtype=np.int32) * BANDS), pa.array(keys.ravel()))
-                yield pa.RecordBatch.from_arrays([piece.column("doc_id"), piece.column("digest"), lists], ["doc_id", "digest", "keys"])
+                columns = [piece.column("doc_id"), piece.column("digest"), lists, pa.array(np.diff(ends))]
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "digest", "keys", "size"])
 
     known = rows.select("doc_id", F.sha2("text", 256).alias("digest"), "text")
-    return known.mapInArrow(run, "doc_id long, digest string, keys array<long>")
+    return known.mapInArrow(run, "doc_id long, digest string, keys array<long>, size long")
 
 
 def banded_matches(a: np.ndarray, b: np.ndarray, band: int) -> int:
@@ -138,60 +141,90 @@ def verified(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").select("a", "b", "packed_a", "packed_b").mapInArrow(run, "a long, b long")
 
 
-def _labels(buckets: DataFrame, classes: DataFrame | None) -> DataFrame:
-    if classes is None:
-        return buckets.withColumn("label", F.col("rep"))
+def _labels(buckets: DataFrame, classes: DataFrame) -> DataFrame:
     named = buckets.join(classes.select(F.col("node").alias("rep"), "label"), "rep", "left")
     return named.withColumn("label", F.coalesce("label", "rep"))
 
 
 def _shared(buckets: DataFrame) -> DataFrame:
-    """Members of the buckets with more than one, with the bucket's size and its smallest member."""
-    sizes = buckets.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("rep").alias("first")).where("n > 1")
+    """Members of the buckets with more than one, with the bucket's smallest and largest member."""
+    sizes = buckets.groupBy("key").agg(F.min("rep").alias("first"), F.max("rep").alias("last")).where("first <> last")
     return store(buckets.join(sizes, "key"))
 
 
-def near_links(keyed: DataFrame, rows: DataFrame, least: float = LEAST) -> DataFrame | None:
-    """Links between distinct texts, enough to join every class; None if there are none.
+def near_links(keyed: DataFrame, rows: DataFrame, least: float = LEAST) -> DataFrame:
+    """Links between distinct texts, enough to join every class.
 
-    keyed: rep, doc_id and keys of each distinct text; rows: doc_id and text, which have it. Only texts that share a
+    keyed: rep, doc_id, keys and number of shingles of each distinct text; rows: doc_id and text, which have it. Only texts that share a
     bucket are looked up.
     """
     shared = _shared(keyed.select("rep", F.posexplode("keys").alias("band", "key")))
     involved = keyed.select("rep", "doc_id").join(shared.select("rep").distinct(), "rep")
     packed = packed_texts(rows.withColumn("digest", F.sha2("text", 256)).select("doc_id", F.xxhash64("digest").alias("rep"), "text"))
     texts = store(packed.join(involved, ["rep", "doc_id"]).dropDuplicates(["rep"]).select("rep", "packed"))
-    links = tested = classes = None
+    stars = shared.where("rep <> first").select(F.col("first").alias("a"), F.col("rep").alias("b"))
+    other_stars = shared.where("rep <> last").select(F.col("rep").alias("a"), F.col("last").alias("b"))
+    links = store(verified(store(stars.union(other_stars).distinct()), texts, least))
+    classes = store(components(links))
     for _ in range(BANDS):
-        stars = shared.where("rep <> first").select(F.col("first").alias("a"), F.col("rep").alias("b")).distinct()
-        links, tested, found = _try(stars, tested, links, texts, least)
-        if found:
-            classes = store(components(links))
-        named = _labels(shared, classes)
-        opened = named.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("key")
-        left = store(named.join(opened, "key"))
-        few = left.where(F.col("n") <= SMALL)
-        other = few.select("key", F.col("rep").alias("b"), F.col("label").alias("label_b"))
-        pairs = few.join(other, "key").where("rep < b and label <> label_b").select(F.col("rep").alias("a"), "b").distinct()
-        links, tested, found = _try(pairs, tested, links, texts, least)
-        if found:
-            classes = store(components(links))
-        many = left.where(F.col("n") > SMALL).select("rep", F.col("band").alias("last"), F.col("key").alias("at")).distinct()
-        split = many.join(keyed, "rep").select("rep", "last", "at", F.posexplode("keys").alias("band", "own")).where("band > last")
-        shared = _shared(split.select("rep", "band", F.xxhash64("at", "band", "own").alias("key")))
-        if shared.isEmpty():
+        members = keyed.select("rep", "size").join(_labels(shared.select("rep", "band", "key"), classes), "rep")
+        sizes = members.groupBy("key").agg(
+            F.count(F.lit(1)).cast("double").alias("n"), F.sum("size").alias("total"), F.min("label").alias("low"), F.max("label").alias("high")
+        )
+        open_ = sizes.where("low <> high").select("key", (F.col("n") * F.col("total") > WORK).alias("large"))
+        left = store(members.join(open_, "key"))
+        found = store(_links_within(left.where("not large"), texts, least))
+        links = links.union(found)
+        large = left.where("large").select("rep", F.col("band").alias("before"), F.col("key").alias("at")).distinct()
+        if large.isEmpty():
             break
+        classes = store(components(links))
+        split = large.join(keyed, "rep").select("rep", "before", "at", F.posexplode("keys").alias("band", "own")).where("band > before")
+        shared = _shared(split.select("rep", "band", F.xxhash64("at", "band", "own").alias("key")))
     return links
 
 
-def _try(pairs: DataFrame, tested: DataFrame | None, links: DataFrame | None, texts: DataFrame, least: float) -> tuple[DataFrame | None, DataFrame, bool]:
-    """Verify the pairs that were not verified before; whether there were new links."""
-    fresh = store(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"))
-    found = store(verified(fresh, texts, least))
-    tested = fresh if tested is None else tested.union(fresh)
-    if found.isEmpty():
-        return links, tested, False
-    return (found if links is None else links.union(found)), tested, True
+def _links_within(members: DataFrame, texts: DataFrame, least: float) -> DataFrame:
+    """Links (a, b) between members of a bucket that are not linked yet, enough to join all that are near each other.
+
+    Each member outside the bucket's largest class is held against all others at once: shared labelled shingles bound
+    the similarity from above, and only pairs that may reach `least`, and are not joined by then, are aligned.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, rows in rows_by_key(batches, ["key"]):
+            held = list(rows)
+            values, ends = shingles(*word_hashes(*text_bytes(unpacked(pa.array([row["packed"] for row in held])))), SHINGLE)
+            reps = [row["rep"] for row in held]
+            found = join_bucket(values, ends, [row["label"] for row in held], least)
+            yield pa.RecordBatch.from_arrays([pa.array([reps[i] for i, _ in found], pa.int64()), pa.array([reps[j] for _, j in found], pa.int64())], ["a", "b"])
+
+    tasks = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = members.select("key", "rep", "label").join(texts, "rep").repartition(tasks, "key").sortWithinPartitions("key", "rep")
+    return dealt.mapInArrow(run, "a long, b long")
+
+
+def join_bucket(values: np.ndarray, ends: np.ndarray, labels: list[int], least: float = LEAST) -> list[tuple[int, int]]:
+    """Pairs of a bucket's texts, at least `least` alike, that join the classes given by `labels` as far as possible."""
+    _, dense = np.unique(labelled(values, ends), return_inverse=True)
+    counts = np.diff(ends)
+    full = np.flatnonzero(counts)
+    root = np.unique(np.array(labels), return_inverse=True)[1]
+    largest = np.bincount(root).argmax()
+    mark = np.zeros(len(dense) + 1, bool)
+    out = []
+    for i in np.flatnonzero(root != largest).tolist():
+        own = dense[ends[i] : ends[i + 1]]
+        mark[own] = True
+        shared = np.zeros(len(counts), np.int64)
+        shared[full] = np.add.reduceat(mark[dense], ends[full]) if len(full) else 0
+        mark[own] = False
+        near = (shared + 1e-9 >= least / (1 + least) * (counts + counts[i])) & (root != root[i])
+        for j in np.flatnonzero(near).tolist():
+            if root[i] != root[j] and similarity(values[ends[i] : ends[i + 1]], values[ends[j] : ends[j + 1]], least) >= least:
+                out.append((i, j))
+                root[root == root[j]] = root[i]
+    return out
 
 
 def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: float = LEAST) -> DataFrame:
@@ -205,16 +238,12 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     text = F.coalesce(docs[text_col], F.lit(""))
     rows = docs.select(docs[id_col].cast("long").alias("doc_id"), text.alias("text"))
     known = store(sketches(rows))
-    same = known.groupBy("digest").agg(F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("n"), F.first("keys").alias("keys"))
+    same = known.groupBy("digest").agg(F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("n"), F.first("keys").alias("keys"), F.first("size").alias("size"))
     # A text is known by a 64-bit number of its digest from here on.
-    copies = store(same.select("digest", F.xxhash64("digest").alias("rep"), "doc_id", "n", "keys"))
-    links = near_links(copies.select("rep", "doc_id", "keys"), rows, least)
+    copies = store(same.select("digest", F.xxhash64("digest").alias("rep"), "doc_id", "n", "keys", "size"))
+    links = near_links(copies.select("rep", "doc_id", "keys", "size"), rows, least)
     named = copies.select("digest", "rep", F.col("doc_id").alias("least"), "n")
-    if links is None:
-        named = named.withColumn("label", F.col("rep"))
-    else:
-        classes = components(links).withColumnRenamed("node", "rep")
-        named = store(named.join(classes, "rep", "left").withColumn("label", F.coalesce("label", "rep")))
+    named = store(_labels(named, components(links)))
     found = named.groupBy("label").agg(F.min("least").alias("class_id"), F.sum("n").alias("class_size"))
     by_text = named.join(found, "label").select("digest", "class_id", "class_size")
     return known.select("doc_id", "digest").join(by_text, "digest").select("doc_id", "class_id", "class_size")
