@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kerbline.llm import decontamination, fingerprints, language_model, mixing, near_dedup, token_files, toxicity
+from kerbline.llm import decontamination, fingerprints, language_model, mixing, near_dedup, substring_dedup, token_files, toxicity
 from kerbline.llm.stage import let_workers_import, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -23,6 +23,10 @@ def op3_token_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_tokens(segments)
 
 
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.find_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
