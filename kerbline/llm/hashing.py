@@ -15,7 +15,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql.types import BinaryType, StructField, StructType
 
-_BASE = 0x9E3779B97F4A7C15 | 1
+BASE = 0x9E3779B97F4A7C15 | 1
 _BYTE_VALUES = np.random.default_rng(20240611).integers(1, 2**63, 256, dtype=np.uint64)
 _LOWER_VALUES = _BYTE_VALUES.copy()
 _LOWER_VALUES[65:91] = _BYTE_VALUES[97:123]
@@ -25,7 +25,7 @@ _IS_MARK = np.array([code < 128 and not chr(code).isalnum() for code in range(25
 _powers: dict[int, np.ndarray] = {}
 
 
-def _power_table(base: int, size: int) -> np.ndarray:
+def power_table(base: int, size: int) -> np.ndarray:
     if base not in _powers or len(_powers[base]) < size:
         table = np.full(max(size, 1 << 16), base, np.uint64)
         table[0] = 1
@@ -69,13 +69,13 @@ def prefix_hash(data: np.ndarray, lower: bool = False) -> np.ndarray:
     """Prefix sums that range_hash() takes differences of."""
     values = _LOWER_VALUES if lower else _BYTE_VALUES
     out = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(values[data] * _power_table(_BASE, len(data)), out=out[1:])
+    np.cumsum(values[data] * power_table(BASE, len(data)), out=out[1:])
     return out
 
 
 def range_hash(prefix: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     """Hash of bytes start..end of each range, independent of where the range lies."""
-    inverse = _power_table(pow(_BASE, -1, 2**64), len(prefix))
+    inverse = power_table(pow(BASE, -1, 2**64), len(prefix))
     return mix((prefix[end] - prefix[start]) * inverse[start])
 
 

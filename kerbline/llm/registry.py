@@ -8,12 +8,16 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kerbline.llm import decontamination, fingerprints, language_model, mixing, near_dedup, substring_dedup, token_files, toxicity
+from kerbline.llm import decontamination, fingerprints, language_model, line_dedup, mixing, near_dedup, substring_dedup, token_files, toxicity
 from kerbline.llm.stage import let_workers_import, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.removed_lines(table(spark, sf_dir, "documents"))
+
+
 def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_classes(table(spark, sf_dir, "documents"))
 
