@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kerbline.llm import decontamination, fingerprints, language_model, line_dedup, mixing, near_dedup, substring_dedup, token_files, toxicity
+from kerbline.llm import decontamination, fingerprints, language_model, line_dedup, mixing, near_dedup, quality, substring_dedup, token_files, toxicity
 from kerbline.llm.stage import let_workers_import, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -35,6 +35,12 @@ def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.find_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = quality.train(docs, table(spark, sf_dir, "labels"))
+    return quality.score_documents(docs, model, host=docs["source"], path=docs["lang"])
+
+
 def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprint_documents(table(spark, sf_dir, "documents"))
 
