@@ -1,25 +1,34 @@
 """Money sums that do not depend on the order rows arrive in.
 
-Amounts are doubles holding cents, and adding doubles gives a different last
-digit for every partitioning or task retry. Each amount is turned into whole
-cents before it is added, so a sum is exact and repeatable, map-side combined
-in one long, and still published as a double.
+Adding doubles gives a different last digit for every partitioning or task
+retry. Each amount is added as a decimal of ten digits behind the point, so a
+sum is exact and repeatable and still published as a double. What no such
+decimal can hold (NaN, infinities, 1e18 and more) is added beside it as a
+double, so it shows in the result as in any sum of doubles and stops nothing.
 """
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+MONEY = "decimal(28,10)"
 
-def cents(amount: str) -> Column:
-    return F.rint(F.col(amount) * F.lit(100.0)).cast("bigint")
 
+def exact_sum(amount: str) -> Column:
+    """The part of a sum that decimals can hold; NULL if there is none."""
+    return F.sum(F.col(amount).try_cast(MONEY))
 
-def from_cents(total: Column) -> Column:
-    return total.cast("double") / F.lit(100.0)
+
+def other_sum(amount: str) -> Column:
+    """The part they cannot hold; NULL in all ordinary cases."""
+    return F.sum(F.when(F.col(amount).try_cast(MONEY).isNull(), F.col(amount)))
+
+
+def total(exact: Column, other: Column) -> Column:
+    return F.when(other.isNull(), exact.cast("double")).otherwise(F.coalesce(exact.cast("double"), F.lit(0.0)) + other)
 
 
 def money_sum(amount: str) -> Column:
-    return from_cents(F.sum(cents(amount)))
+    return total(exact_sum(amount), other_sum(amount))
 
 
 def money_avg(amount: str) -> Column:

@@ -25,12 +25,15 @@ def first_per_key(df: DataFrame, key: list[str], order: list[Column]) -> DataFra
 
 
 def dedup_trips(trips: DataFrame) -> DataFrame:
-    """One row per trip key: latest batch, then highest total, then a fixed order.
+    """One row per trip key: latest load, then a fixed order.
 
-    Every remaining column closes the order, so rows that still tie are equal and
+    Batch ids are names and say nothing about time, so the load time decides; the
+    ids follow only for rows without one. Every remaining column closes the order, so rows that still tie are equal and
     the result is the same on every run.
     """
+    loaded = [F.desc_nulls_last("ingestion_timestamp")] if "ingestion_timestamp" in trips.columns else []
     leading = [
+        *loaded,
         F.desc_nulls_last("batch_id"),
         F.desc_nulls_last("total_amount"),
         F.asc_nulls_last("payment_type"),
@@ -38,7 +41,7 @@ def dedup_trips(trips: DataFrame) -> DataFrame:
         F.asc_nulls_last("vendor_id"),
         F.asc_nulls_last("passenger_count"),
     ]
-    used = {*TRIP_KEY, "batch_id", "total_amount", "payment_type", "rate_code_id", "vendor_id", "passenger_count"}
+    used = {*TRIP_KEY, "ingestion_timestamp", "batch_id", "total_amount", "payment_type", "rate_code_id", "vendor_id", "passenger_count"}
     rest = [F.asc_nulls_last(name) for name in trips.columns if name not in used]
     return first_per_key(trips, TRIP_KEY, leading + rest)
 

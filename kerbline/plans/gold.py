@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from kerbline import schemas
 from kerbline.functions import trips as tf
-from kerbline.functions.money import cents, from_cents, money_sum
+from kerbline.functions.money import exact_sum, money_sum, other_sum, total
 
 # Zone names that count as airports.
 AIRPORTS = ("JFK Airport", "LaGuardia Airport", "Newark Airport")
@@ -37,41 +37,28 @@ def demand_mart(fact: DataFrame) -> DataFrame:
     return _published(mart, schemas.DEMAND_MART)
 
 
-def revenue_mart(fact: DataFrame) -> DataFrame:
-    """Revenue, fares and trips per borough and day."""
-    mart = fact.groupBy("trip_date", "trip_month", "pickup_borough").agg(
-        money_sum("total_amount").alias("daily_revenue"),
-        money_sum("fare_amount").alias("daily_fare"),
-        F.count("*").alias("trip_count"),
-    )
-    return _published(mart, schemas.REVENUE_MART)
-
-
-def payment_mart(fact: DataFrame) -> DataFrame:
-    """Trips and revenue per borough, day and payment type."""
-    mart = fact.groupBy("trip_date", "trip_month", "pickup_borough", "payment_type").agg(
-        F.count("*").alias("trip_count"), money_sum("total_amount").alias("total_revenue")
-    )
-    return _published(mart, schemas.PAYMENT_MART)
-
-
 def payment_days(fact: DataFrame) -> DataFrame:
-    """Cents and counts per borough, day and payment type: one pass for two marts."""
+    """Sums, in their two parts, and counts per borough, day and payment type: one pass for two marts."""
     return fact.groupBy("trip_date", "trip_month", "pickup_borough", "payment_type").agg(
         F.count("*").alias("trip_count"),
-        F.sum(cents("total_amount")).alias("total_cents"),
-        F.sum(cents("fare_amount")).alias("fare_cents"),
+        exact_sum("total_amount").alias("total_exact"),
+        other_sum("total_amount").alias("total_other"),
+        exact_sum("fare_amount").alias("fare_exact"),
+        other_sum("fare_amount").alias("fare_other"),
     )
 
 
-def payment_mart_of(days: DataFrame) -> DataFrame:
-    return _published(days.withColumn("total_revenue", from_cents(F.col("total_cents"))), schemas.PAYMENT_MART)
+def payment_mart(days: DataFrame) -> DataFrame:
+    """Trips and revenue per borough, day and payment type, from `payment_days`."""
+    revenue = total(F.col("total_exact"), F.col("total_other"))
+    return _published(days.withColumn("total_revenue", revenue), schemas.PAYMENT_MART)
 
 
-def revenue_mart_of(days: DataFrame) -> DataFrame:
+def revenue_mart(days: DataFrame) -> DataFrame:
+    """Revenue, fares and trips per borough and day, from `payment_days`."""
     mart = days.groupBy("trip_date", "trip_month", "pickup_borough").agg(
-        from_cents(F.sum("total_cents")).alias("daily_revenue"),
-        from_cents(F.sum("fare_cents")).alias("daily_fare"),
+        total(F.sum("total_exact"), F.sum("total_other")).alias("daily_revenue"),
+        total(F.sum("fare_exact"), F.sum("fare_other")).alias("daily_fare"),
         F.sum("trip_count").alias("trip_count"),
     )
     return _published(mart, schemas.REVENUE_MART)
@@ -107,12 +94,6 @@ _EFFICIENCY_NAMES = {
 }
 
 
-def efficiency_mart(fact: DataFrame) -> DataFrame:
-    """Averages per borough over all trips: means of per-trip ratios, not ratios of sums."""
-    averages = [F.avg(value).alias(_EFFICIENCY_NAMES[name]) for name, value in _efficiency_values().items()]
-    return fact.groupBy("pickup_borough").agg(*averages)
-
-
 def efficiency_parts(fact: DataFrame) -> DataFrame:
     """Sums and counts per borough and month behind the averages.
 
@@ -125,7 +106,8 @@ def efficiency_parts(fact: DataFrame) -> DataFrame:
     return _published(fact.groupBy("trip_month", "pickup_borough").agg(*measures), schemas.EFFICIENCY_PARTS)
 
 
-def efficiency_mart_of(parts: DataFrame) -> DataFrame:
+def efficiency_mart(parts: DataFrame) -> DataFrame:
+    """Averages per borough over all trips, from `efficiency_parts`: means of per-trip ratios, not ratios of sums."""
     averages = [
         F.try_divide(F.sum(f"{name}_sum"), F.sum(f"{name}_n")).alias(published)
         for name, published in _EFFICIENCY_NAMES.items()

@@ -15,7 +15,7 @@ from kerbline.functions import trips as tf
 from kerbline.functions.months import explode_months, months_todo
 from kerbline.operators.quality import TripLimits, require_valid
 from kerbline.plans import bronze, gold, silver
-from kerbline.sinks import append_batch, replace_months, replace_table
+from kerbline.sinks import append_batch, gather_months, replace_months, replace_table
 from kerbline.sources.monthly import scan_months
 from kerbline.sources.tables import load_table, only_months
 from kerbline.sources.zones import scan_zone_csv
@@ -30,6 +30,7 @@ TABLES = {
     "taxi_zones": ("bronze", schemas.BRONZE_ZONE),
     "months_done": ("state", schemas.MONTHS_DONE),
     "batch_months": ("state", schemas.BATCH_MONTHS),
+    "added_columns": ("state", schemas.ADDED_COLUMNS),
     "silver_trips": ("silver", schemas.SILVER_TRIP),
     "silver_zones": ("silver", schemas.SILVER_ZONE),
     "dim_taxi_zones": ("gold", schemas.SILVER_ZONE),
@@ -63,7 +64,14 @@ class Lake:
         return f"{self.root}/{TABLES[table][0]}/{table}"
 
     def read(self, spark: SparkSession, table: str) -> DataFrame:
-        return load_table(spark, self.path(table), TABLES[table][1], self.fmt)
+        contract = TABLES[table][1]
+        if table == "yellow_trips":
+            contract += "".join(f", `{name}` {kind}" for name, kind in sorted(self.added_columns(spark).items()))
+        return load_table(spark, self.path(table), contract, self.fmt)
+
+    def added_columns(self, spark: SparkSession) -> dict[str, str]:
+        """Columns of landed trips beyond the contract, by name: one short row for each ever added."""
+        return {row.name: row.kind for row in _state(spark, self, "added_columns").distinct().collect()}
 
     def published(self, spark: SparkSession) -> dict[str, DataFrame]:
         """The gold tables by name, ready for `register_views`."""
@@ -90,14 +98,41 @@ def session_zone(spark: SparkSession, zone: str) -> Iterator[None]:
         spark.conf.set("spark.sql.session.timeZone", before)
 
 
-def months_done(spark: SparkSession, lake: Lake) -> DataFrame:
-    """Months finished by earlier runs; none before the first run."""
+def _state(spark: SparkSession, lake: Lake, table: str) -> DataFrame:
+    """A state table; empty before anything was recorded."""
     try:
-        return lake.read(spark, "months_done").distinct()
+        return lake.read(spark, table)
     except AnalysisException as missing:
         if missing.getCondition() not in ("PATH_NOT_FOUND", "DELTA_TABLE_NOT_FOUND"):
             raise
-        return spark.createDataFrame([], schemas.MONTHS_DONE)
+        return spark.createDataFrame([], TABLES[table][1])
+
+
+def months_done(spark: SparkSession, lake: Lake) -> DataFrame:
+    """Months finished by earlier runs; none before the first run."""
+    return _state(spark, lake, "months_done").distinct()
+
+
+def note_added_columns(trips: DataFrame, lake: Lake) -> None:
+    """Record the columns of a delivery that neither the contract nor an earlier delivery has.
+
+    A known one must keep its type: stored files of two types cannot be read as one column.
+    """
+    spark = trips.sparkSession
+    known = {name.lower() for name in schemas.names(schemas.BRONZE_TRIP)}
+    before = {name.lower(): kind for name, kind in lake.added_columns(spark).items()}
+    new = []
+    for column in trips.schema:
+        name, kind = column.name.lower(), column.dataType.simpleString()
+        if name in known:
+            continue
+        if name not in before:
+            new.append((column.name, kind))
+        elif before[name] != kind:
+            raise ValueError(f"column {column.name} was delivered as {before[name]} before and is {kind} now")
+    if new:
+        frame = spark.createDataFrame(new, schemas.ADDED_COLUMNS).coalesce(1)
+        frame.write.format(lake.fmt).mode("append").save(lake.path("added_columns"))
 
 
 def run_together(spark: SparkSession, *actions: Callable[[], None]) -> None:
@@ -114,6 +149,7 @@ def land_trips(trips: DataFrame, lake: Lake, source_name: str, batch_id: str) ->
     noted but missing from bronze costs nothing, one in bronze but not noted
     would be overlooked by later runs.
     """
+    note_added_columns(trips, lake)
     month = tf.month_key(F.to_date("tpep_pickup_datetime"))
     held = trips.select(F.lit(batch_id).alias("batch_id"), month.alias("month")).distinct()
     held.write.format(lake.fmt).mode("append").save(lake.path("batch_months"))
@@ -126,13 +162,12 @@ def batches_holding(spark: SparkSession, lake: Lake, months: list[str]) -> list[
     return sorted(row.batch_id for row in held.select("batch_id").distinct().collect())
 
 
-def spans_many(months: list[str] | None) -> bool:
-    """Whether rows should be gathered by month before a write.
-
-    Over a few months any task writes only a few files, each as large as adaptive
-    execution made the task; over a long history it would write one sliver per month.
-    """
-    return not months or len(months) > 3
+def put_months(df: DataFrame, path: str, column: str, months: list[str] | None, gather: bool, fmt: str) -> None:
+    """Replace the given months of a table, also those that have no row any more, or all of it."""
+    if months:
+        replace_months(df, path, column, gather, fmt, months)
+    else:
+        replace_table(gather_months(df, column) if gather else df, path, fmt, column)
 
 
 def publish_silver(
@@ -142,9 +177,14 @@ def publish_silver(
     months: list[str] | None = None,
     lenient: bool = False,
     batches: list[str] | None = None,
+    gather: bool = True,
 ) -> None:
     """Rebuild the silver months from bronze, replacing only those months.
 
+    `gather` brings the rows of a month together before the write, at the price of
+    a second shuffle of full rows. Without it every task writes a file for each
+    month it has rows of: right for passes over a few months.
+
     A month's trips may sit in any batch. `batches` names the ones that hold some;
     the others' folders are then not opened. Without it all of bronze is read.
     """
@@ -152,11 +192,15 @@ def publish_silver(
     if batches is not None:
         bronze_trips = bronze_trips.where(F.col("batch_id").isin(batches))
     trips = silver.silver_trips(bronze_trips, lake.read(spark, "silver_zones"), limits, months, lenient)
-    replace_months(trips, lake.path("silver_trips"), "pickup_month", spans_many(months), lake.fmt)
+    put_months(trips, lake.path("silver_trips"), "pickup_month", months, gather, lake.fmt)
 
 
 def publish_gold(
-    spark: SparkSession, lake: Lake, months: list[str] | None = None, airports: tuple[str, ...] = gold.AIRPORTS
+    spark: SparkSession,
+    lake: Lake,
+    months: list[str] | None = None,
+    airports: tuple[str, ...] = gold.AIRPORTS,
+    gather: bool = True,
 ) -> None:
     """Write the fact once, then build each mart from the written fact.
 
@@ -168,24 +212,24 @@ def publish_gold(
     """
 
     def put(mart: DataFrame, table: str) -> None:
-        replace_months(mart, lake.path(table), "trip_month", spans_many(months), lake.fmt)
+        put_months(mart, lake.path(table), "trip_month", months, gather, lake.fmt)
 
     trips = only_months(lake.read(spark, "silver_trips"), months, "pickup_month")
-    replace_months(gold.fact_trips(trips), lake.path("fact_taxi_trips"), "trip_month", False, lake.fmt)
+    put_months(gold.fact_trips(trips), lake.path("fact_taxi_trips"), "trip_month", months, False, lake.fmt)
 
     fact = only_months(lake.read(spark, "fact_taxi_trips"), months, "trip_month")
 
     def payments_and_revenue() -> None:
         days = gold.payment_days(fact).persist()
         try:
-            put(gold.payment_mart_of(days), "payment_behavior_mart")
-            put(gold.revenue_mart_of(days), "revenue_by_borough_day_mart")
+            put(gold.payment_mart(days), "payment_behavior_mart")
+            put(gold.revenue_mart(days), "revenue_by_borough_day_mart")
         finally:
             days.unpersist()
 
     def efficiency() -> None:
         put(gold.efficiency_parts(fact), "trip_efficiency_parts")
-        mart = gold.efficiency_mart_of(lake.read(spark, "trip_efficiency_parts"))
+        mart = gold.efficiency_mart(lake.read(spark, "trip_efficiency_parts"))
         replace_table(mart, lake.path("trip_efficiency_mart"), lake.fmt)
 
     run_together(
@@ -213,6 +257,7 @@ def run_months(
     lenient: bool = False,
     recheck_all_months: bool = False,
     months_per_pass: int | None = None,
+    gather: bool = True,
 ) -> RunReport:
     """Load the months of start..end that no earlier run finished.
 
@@ -226,6 +271,8 @@ def run_months(
     `months_per_pass` builds and records a long range in slices once all its files
     are in bronze: no shuffle is larger than a slice, and a failure costs one
     slice. The dedup key holds the pickup time, so slices give the same tables.
+    `gather` is that of `publish_silver`; switch it off for passes of one to three
+    months.
     """
     report = RunReport((start, end))
     with session_zone(spark, zone):
@@ -245,10 +292,10 @@ def run_months(
 
         size = months_per_pass or max(len(months), 1)
         for part in (months[i : i + size] for i in range(0, len(months), size)):
-            publish_silver(spark, lake, limits, part, lenient, batches_holding(spark, lake, part))
+            publish_silver(spark, lake, limits, part, lenient, batches_holding(spark, lake, part), gather)
             written = lake.read(spark, "silver_trips")
             require_valid(only_months(written, None if recheck_all_months else part, "pickup_month"), limits)
-            publish_gold(spark, lake, part, airports)
+            publish_gold(spark, lake, part, airports, gather)
             finished = spark.createDataFrame([(month,) for month in part], schemas.MONTHS_DONE)
             finished.coalesce(1).write.format(lake.fmt).mode("append").save(lake.path("months_done"))
             report.loaded += part

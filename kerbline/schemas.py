@@ -60,6 +60,8 @@ EFFICIENCY_PARTS = (
     "mile_fare_sum double, mile_fare_n bigint, minute_fare_sum double, minute_fare_n bigint, trip_month string"
 )
 MONTHS_DONE = "month string"
+# Columns that deliveries added to the contract of bronze trips.
+ADDED_COLUMNS = "name string, kind string"
 BATCH_MONTHS = "batch_id string, month string"
 
 

@@ -6,6 +6,7 @@ schema need the mergeSchema option for that, plain Parquet does not look at it.
 
 from pyspark.sql import DataFrame, DataFrameWriter
 
+
 def _writer(df: DataFrame, fmt: str, mode: str) -> DataFrameWriter:
     return df.write.format(fmt).mode(mode).option("mergeSchema", True)
 
@@ -25,18 +26,55 @@ def append_batch(df: DataFrame, path: str, batch_column: str = "batch_id", fmt:
     _writer(df, fmt, "append").partitionBy(batch_column).save(path)
 
 
-def replace_table(df: DataFrame, path: str, fmt: str = "parquet") -> None:
-    """Replace the whole unpartitioned table."""
-    _writer(df, fmt, "overwrite").option("partitionOverwriteMode", "static").save(path)
+def replace_table(df: DataFrame, path: str, fmt: str = "parquet", column: str | None = None) -> None:
+    """Replace the whole table, partitioned by `column` if given."""
+    writer = _writer(df, fmt, "overwrite").option("partitionOverwriteMode", "static")
+    (writer.partitionBy(column) if column else writer).save(path)
+
+
+def _month_files(df: DataFrame, path: str, column: str, months: list[str]) -> dict[str, set[str]]:
+    """File names in the folders of some months, asked of the path's own file system."""
+    jvm, conf = df.sparkSession._jvm, df.sparkSession._jsparkSession.sessionState().newHadoopConf()
+    found = {}
+    for month in months:
+        folder = jvm.org.apache.hadoop.fs.Path(f"{path}/{column}={month}")
+        store = folder.getFileSystem(conf)
+        found[month] = {f.getPath().getName() for f in store.listStatus(folder)} if store.exists(folder) else set()
+    return found
 
 
-def replace_months(df: DataFrame, path: str, column: str, gather: bool = True, fmt: str = "parquet") -> None:
+def _clear_month(df: DataFrame, path: str, column: str, month: str) -> None:
+    folder = df.sparkSession._jvm.org.apache.hadoop.fs.Path(f"{path}/{column}={month}")
+    folder.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(folder, True)
+
+
+def replace_months(
+    df: DataFrame,
+    path: str,
+    column: str,
+    gather: bool = True,
+    fmt: str = "parquet",
+    months: list[str] | None = None,
+) -> None:
     """Replace the months present in `df` and leave every other month alone.
 
+    Of the months named in `months`, those without a row in `df` are emptied: a
+    dynamic overwrite alone would leave their old rows. Their folders are removed
+    after the write, and only if it put nothing there.
+
     `gather=False` saves the shuffle where rows already come month by month or
     span only a few months. The overwrite mode is an option of this write; the
     session keeps its own.
     """
     if gather:
         df = gather_months(df, column)
-    _writer(df, fmt, "overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(column).save(path)
+    writer = _writer(df, fmt, "overwrite").partitionBy(column)
+    if fmt != "parquet" and months:
+        named = ", ".join(f"'{month}'" for month in months)
+        writer.option("replaceWhere", f"{column} IN ({named})").save(path)
+        return
+    before = _month_files(df, path, column, months or [])
+    writer.option("partitionOverwriteMode", "dynamic").save(path)
+    for month, files in _month_files(df, path, column, months or []).items():
+        if files and files == before[month]:
+            _clear_month(df, path, column, month)

@@ -3,6 +3,8 @@
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -43,7 +45,7 @@ def _group_by_schema(spark: SparkSession, paths: list[str]) -> list[tuple[Struct
     """
     try:
         return [(_merged_schema(spark, paths), paths)]
-    except Exception as conflict:
+    except (PySparkException, Py4JJavaError) as conflict:  # this error reaches Python unconverted
         if "CANNOT_MERGE_SCHEMAS" not in str(conflict):
             raise
     with ThreadPoolExecutor(_SCHEMA_JOBS) as jobs:

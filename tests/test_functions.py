@@ -74,3 +74,15 @@ def test_money_is_exact_in_any_order(spark):
     assert shuffled.s == total.s
     nothing = amounts.where("x < 0").agg(money_sum("x").alias("s"), money_avg("x").alias("a")).first()
     assert nothing.s is None and nothing.a is None
+
+
+def test_money_loses_nothing_and_stops_nothing(spark):
+    def both(values):
+        frame = spark.createDataFrame([(v,) for v in values], "x double")
+        row = frame.agg(money_sum("x").alias("s"), money_avg("x").alias("a")).first()
+        return row.s, row.a
+
+    assert both([0.004] * 1000) == (4.0, 0.004)
+    assert both([1e20, 1.0]) == (1e20 + 1.0, (1e20 + 1.0) / 2)
+    assert both([float("inf"), 1.0, None])[0] == float("inf")
+    assert both([float("nan"), 1.0])[0] != both([float("nan"), 1.0])[0]

@@ -142,3 +142,24 @@ def test_spikes_match_brute_force(spark):
     }
     assert expected == {("2024-01-09", "x")}
     assert {(r.trip_date, r.pickup_zone) for r in demand_spikes(df).collect()} == expected
+
+
+def test_the_later_load_survives_whatever_its_name_or_amount(spark):
+    row = "1 AS pickup_ts, 2 AS dropoff_ts, 3 AS pickup_location_id, 4 AS dropoff_location_id, 5D AS fare_amount, 6D AS trip_distance"
+    rest = "1 AS payment_type, 1 AS rate_code_id, 1 AS vendor_id, 1 AS passenger_count"
+    loads = [("run9", 1, 50.0), ("run10", 2, 40.0), ("run10", 3, 30.0)]
+    frames = [
+        spark.sql(f"SELECT {row}, '{batch}' AS batch_id, {amount}D AS total_amount, {rest}, timestamp_seconds({at}) AS ingestion_timestamp")
+        for batch, at, amount in loads
+    ]
+    kept = dedup_trips(frames[0].union(frames[1]).union(frames[2])).collect()
+    assert [(r.batch_id, r.total_amount) for r in kept] == [("run10", 30.0)]
+
+
+def test_dense_rank_spreads_close_values_and_ranks_nan(spark):
+    close = spark.range(5000).select((F.lit(1_000_000.0) + (F.col("id") % 2500) / 100).alias("x"))
+    ranked = dense_rank_desc(close, "x", "r")
+    assert ranked.agg(F.countDistinct("r"), F.min("r"), F.max("r")).first() == (2500, 1, 2500)
+    assert ranked.where("r = 1").select("x").distinct().first().x == 1_000_024.99
+    odd = spark.createDataFrame([(float("nan"),), (1.0,), (None,), (2.0,), (1.0,)], "x double")
+    assert [r.r for r in dense_rank_desc(odd, "x", "r").orderBy("r").collect()] == [1, 2, 3, 3, 4]

@@ -87,6 +87,14 @@ def test_replace_months_leaves_other_months_and_the_session_alone(spark, tmp_pat
     assert [r.v for r in only_months(table, ["c"], "m").collect()] == [4]
 
 
+def test_named_months_without_rows_are_emptied(spark, tmp_path):
+    path = f"{tmp_path}/silver"
+    replace_months(_month_rows(spark, a=[1], b=[2], c=[3]), path, "m")
+    replace_months(_month_rows(spark, b=[20]), path, "m", months=["a", "b", "d"])
+    table = load_table(spark, path, "v int, m string")
+    assert sorted(map(tuple, table.collect())) == [(3, "c"), (20, "b")]
+
+
 def test_replace_table_replaces_everything_even_in_dynamic_sessions(spark, tmp_path):
     path = f"{tmp_path}/zones"
     replace_table(spark.range(5), path)

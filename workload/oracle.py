@@ -238,7 +238,7 @@ def _with(relations: list[str], body: str, replaced: dict[str, tuple[list[str],
     for name in relations:
         visit(name)
     ctes = ",\n".join(f"{name} AS ({known[name][1]})" for name in ordered)
-    return f"WITH {ctes}\n{body}"
+    return f"WITH {ctes}\n{body}" if ctes else body
 
 
 _RAW_COLUMNS = """
@@ -337,13 +337,34 @@ _QUERIES: dict[str, tuple[list[str], str]] = {
         FROM bronze GROUP BY ALL
         """,
     ),
+    "revenue_of_fine_amounts": (
+        [],
+        """
+        SELECT l_returnflag, l_linestatus,
+               round(CAST(sum(CASE WHEN NOT huge THEN CAST(amount AS DECIMAL(28,10)) END) AS DOUBLE)
+                     + coalesce(sum(CASE WHEN huge THEN 1e20 END), 0), 4) AS revenue,
+               round((CAST(sum(CASE WHEN NOT huge THEN CAST(amount AS DECIMAL(28,10)) END) AS DOUBLE)
+                      + coalesce(sum(CASE WHEN huge THEN 1e20 END), 0)) / count(*), 4) AS average
+        FROM (SELECT l_returnflag, l_linestatus, l_extendedprice * (1 - l_discount) / 1000 AS amount,
+                     l_orderkey % 1000 = 0 AND l_linestatus = 'F' AS huge FROM lineitem)
+        GROUP BY l_returnflag, l_linestatus
+        """,
+    ),
+    "bronze_with_added_column": (
+        ["bronze"],
+        """
+        SELECT batch_id, tpep_pickup_datetime, total_amount,
+               CASE batch_id WHEN 'b2' THEN total_amount / 8 END AS cbd_congestion_fee
+        FROM bronze
+        """,
+    ),
     "sink_full_overwrite": (["zones"], "SELECT * FROM zones"),
     "sink_dynamic_overwrite": (
         ["demand"],
         """
         SELECT * REPLACE (pickup_trip_count + CASE WHEN trip_month >= '1998-01' THEN 100 ELSE 0 END
                           AS pickup_trip_count)
-        FROM demand
+        FROM demand WHERE trip_month <> '1996-05'
         """,
     ),
     "project_bronze_columns": (["bronze"], f"SELECT {_RAW_COLUMNS}, source_name, batch_id FROM bronze"),

@@ -11,10 +11,11 @@ from pyspark.sql import functions as F
 
 from kerbline import Lake, run_months, schemas
 from kerbline.functions import trips as tf
-from kerbline.functions.money import money_sum
+from kerbline.functions.money import money_avg, money_sum
 from kerbline.functions.months import explode_months, in_months, months_after, months_todo
 from kerbline.operators import dedup, quality, spikes, zones
 from kerbline.plans import bronze, gold, reports, silver
+from kerbline.plans.incremental import land_trips
 from kerbline.sinks import append_batch, replace_months, replace_table
 from kerbline.sources.monthly import scan_months
 from kerbline.sources.tables import load_table, only_months, register_views
@@ -27,8 +28,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 # Fixed values shared with the SQL checks.
 FILTER_MONTHS = ["1995-03", "1995-04", "1997-11"]
 REWRITE_SINCE = "1998-01"
+EMPTIED_MONTH = "1996-05"
 FIRST_RUN_UNTIL = "1999-07"
-TRIP_ID = ["pickup_ts", "dropoff_ts", "pickup_location_id", "dropoff_location_id", "fare_amount", "trip_distance"]
 
 _registry: dict[str, Query] = {}
 
@@ -130,6 +131,20 @@ def bronze_trips_metadata(spark, sf_dir):
     )
 
 
+@query
+def bronze_with_added_column(spark, sf_dir):
+    """Two loads, the second with a column that the contract does not know, read back through the lake."""
+    lake = Lake(stage.scratch_path(spark, "added"))
+    trips = _bronze(spark, sf_dir).select(*schemas.names(schemas.RAW_TRIP), "source_file", "batch_id")
+    for batch_id in ("b1", "b2"):
+        batch = trips.where(F.col("batch_id") == batch_id).drop("batch_id")
+        if batch_id == "b2":
+            batch = batch.withColumn("cbd_congestion_fee", F.col("total_amount") / 8)
+        land_trips(batch, lake, "trips", batch_id)
+    landed = lake.read(spark, "yellow_trips")
+    return landed.select("batch_id", "tpep_pickup_datetime", "total_amount", "cbd_congestion_fee")
+
+
 def _zone_csv_round_trip(spark, sf_dir):
     path = stage.scratch_path(spark, "zone_csv")
     zones_raw(spark, sf_dir).write.option("header", True).csv(path)
@@ -209,6 +224,8 @@ def sink_dynamic_overwrite(spark, sf_dir):
     replace_months(demand, path, "trip_month")
     later = demand.where(F.col("trip_month") >= REWRITE_SINCE)
     replace_months(later.withColumn("pickup_trip_count", F.col("pickup_trip_count") + 100), path, "trip_month")
+    # A month whose new result has no rows is emptied.
+    replace_months(demand.limit(0), path, "trip_month", months=[EMPTIED_MONTH])
     return load_table(spark, path, schemas.DEMAND_MART)
 
 
@@ -224,7 +241,7 @@ def project_bronze_columns(spark, sf_dir):
 @query
 def cast_normalize_trips(spark, sf_dir):
     return _typed(spark, sf_dir).select(
-        *TRIP_ID, "vendor_id", "rate_code_id", "payment_type", "passenger_count", "total_amount", "batch_id"
+        *dedup.TRIP_KEY, "vendor_id", "rate_code_id", "payment_type", "passenger_count", "total_amount", "batch_id"
     )
 
 
@@ -363,7 +380,7 @@ def enrich_both_zones(spark, sf_dir):
 @query
 def dedup_trips(spark, sf_dir):
     return dedup.dedup_trips(_typed(spark, sf_dir)).select(
-        *TRIP_ID, "total_amount", "payment_type", "rate_code_id", "vendor_id", "passenger_count", "batch_id"
+        *dedup.TRIP_KEY, "total_amount", "payment_type", "rate_code_id", "vendor_id", "passenger_count", "batch_id"
     )
 
 
@@ -407,7 +424,7 @@ def demand_by_zone_hour_mart(spark, sf_dir):
 
 @query
 def revenue_by_borough_day_mart(spark, sf_dir):
-    return gold.revenue_mart(_fact(spark, sf_dir))
+    return gold.revenue_mart(gold.payment_days(_fact(spark, sf_dir)))
 
 
 @query
@@ -417,7 +434,20 @@ def airport_trip_mart(spark, sf_dir):
 
 @query
 def payment_behavior_mart(spark, sf_dir):
-    return gold.payment_mart(_fact(spark, sf_dir))
+    return gold.payment_mart(gold.payment_days(_fact(spark, sf_dir)))
+
+
+@query
+def revenue_of_fine_amounts(spark, sf_dir):
+    """Amounts with many digits behind the point, and one in a thousand that no decimal holds."""
+    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    amount = F.col("l_extendedprice") * (1 - F.col("l_discount")) / 1000
+    huge = (F.col("l_orderkey") % 1000 == 0) & (F.col("l_linestatus") == "F")
+    lines = lines.withColumn("amount", F.when(huge, F.lit(1e20)).otherwise(amount))
+    totals = lines.groupBy("l_returnflag", "l_linestatus").agg(
+        money_sum("amount").alias("revenue"), money_avg("amount").alias("average")
+    )
+    return totals.withColumns({name: F.round(F.col(name), F.lit(4)) for name in ("revenue", "average")})
 
 
 EFFICIENCY_AVERAGES = ["avg_trip_distance", "avg_trip_duration_minutes", "avg_fare_per_mile", "avg_fare_per_minute"]
@@ -425,7 +455,7 @@ EFFICIENCY_AVERAGES = ["avg_trip_distance", "avg_trip_duration_minutes", "avg_fa
 
 @query
 def trip_efficiency_mart(spark, sf_dir):
-    return rounded(gold.efficiency_mart(_fact(spark, sf_dir)), *EFFICIENCY_AVERAGES)
+    return rounded(gold.efficiency_mart(gold.efficiency_parts(_fact(spark, sf_dir))), *EFFICIENCY_AVERAGES)
 
 
 # -- reports --------------------------------------------------------------

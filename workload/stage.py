@@ -2,11 +2,10 @@
 
 Silver queries read stored bronze, marts read the stored fact and reports read
 the stored marts, as they do in production. Tables go to the shared folder named
-in spark.checkpoint.dir; only where none is set, as in tests, is a temporary
-folder of this machine used.
+in spark.checkpoint.dir, or where none is set to the warehouse, which is shared
+storage too.
 """
 
-import tempfile
 import threading
 import uuid
 
@@ -22,7 +21,6 @@ from workload.relations import AIRPORT_FEE_SINCE, AIRPORTS, bronze_batch, raw_tr
 
 _lock = threading.RLock()
 _roots: dict[str, str] = {}
-_local: list[tempfile.TemporaryDirectory] = []
 _built: set[tuple[str, str]] = set()
 _tables: dict[tuple[str, str], DataFrame] = {}
 
@@ -32,12 +30,8 @@ def scratch_root(spark: SparkSession) -> str:
     app = spark.sparkContext.applicationId
     with _lock:
         if app not in _roots:
-            shared = spark.conf.get("spark.checkpoint.dir", None)
-            if shared:
-                _roots[app] = f"{shared.rstrip('/')}/kerbline-{app}-{uuid.uuid4().hex[:8]}"
-            else:
-                _local.append(tempfile.TemporaryDirectory(prefix="kerbline-"))
-                _roots[app] = _local[-1].name
+            shared = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+            _roots[app] = f"{shared.rstrip('/')}/kerbline-{app}-{uuid.uuid4().hex[:8]}"
         return _roots[app]
 
 
