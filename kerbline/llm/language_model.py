@@ -31,7 +31,7 @@ STRENGTH = 1.0
 EXACT = 100
 BLOCK_BYTES = 28 << 20
 #: Texts are turned into pairs in batches of about so many bytes.
-BATCH_BYTES = 20 << 20
+BATCH_BYTES = 12 << 20
 _END = np.uint64(0x5EED0E4D5EED0E4D)
 _ROW = "i int, j int, kind int, src int, blob binary"
 _SCHEMA = pa.schema([("i", pa.int32()), ("j", pa.int32()), ("kind", pa.int32()), ("src", pa.int32()), ("blob", pa.binary())])
@@ -67,12 +67,14 @@ def _batches(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch
 
     def flush() -> tuple[pa.RecordBatch, np.ndarray, np.ndarray, np.ndarray]:
         meta = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
-        return meta, *(np.concatenate([part[k] for part in parts]) for k in range(3))
+        columns = [np.concatenate([part[k] for part in parts]) for k in range(3)]
+        parts.clear()
+        return meta, *columns
 
     for batch in batches:
         for piece in slices(batch, "text"):
             context, word, ends = _pairs(piece.column("text"))
-            parts.append((context, word, np.repeat(np.arange(rows, rows + piece.num_rows), np.diff(ends))))
+            parts.append((context, word, np.repeat(np.arange(rows, rows + piece.num_rows, dtype=np.int32), np.diff(ends))))
             held.append(piece.select(["doc_id", "held_out"]))
             rows, tokens = rows + piece.num_rows, tokens + len(word)
             if tokens >= BATCH_BYTES // 7:
@@ -86,25 +88,37 @@ def _bucket(hashes: np.ndarray, side: int) -> np.ndarray:
     return ((hashes >> np.uint64(32)) * np.uint64(side) >> np.uint64(32)).astype(np.int64)
 
 
-def _in_blocks(context: np.ndarray, word: np.ndarray, row: np.ndarray, uses: np.ndarray, side: int) -> Iterator[tuple]:
+def _in_blocks(context: np.ndarray, word: np.ndarray, row: np.ndarray, rows: int, flag: np.ndarray | None, side: int) -> Iterator[tuple]:
     """Tokens grouped by block: its numbers i and j, its sorted contexts and words, and per distinct (context, word, row)
-    their places in these and the sum of `uses`."""
-    names = np.unique(np.concatenate([context, word]))
-    u, w = np.searchsorted(names, context), np.searchsorted(names, word)
-    block = _bucket(context, side) * side + _bucket(word, side)
-    order = np.lexsort((row, w, u, block))
-    u, w, row, block, uses = u[order], w[order], row[order], block[order], uses[order]
-    new = np.ones(len(u), bool)
-    new[1:] = (u[1:] != u[:-1]) | (w[1:] != w[:-1]) | (row[1:] != row[:-1])
-    first = np.flatnonzero(new)
-    uses = np.add.reduceat(uses, first) if len(first) else uses
-    u, w, row, block = u[first], w[first], row[first], block[first]
+    their places in these and how many tokens (with `flag` set, if given) there are.
+
+    Everything a token says is put in one number and sorted; batches are small enough for 63 bits.
+    """
+    names = np.unique(np.append(word, _END))
+    n = len(names)
+    key = (_bucket(context, side) * side + _bucket(word, side)) * n
+    key += np.searchsorted(names, context)
+    key *= n
+    key += np.searchsorted(names, word)
+    key *= 2 * rows
+    key += 2 * row
+    if flag is not None:
+        key += flag
+    if side * side * n * n * 2 * rows >= 2**63:
+        raise ValueError("a batch of texts has too many different words for one sort key")
+    key.sort()
+    first = np.flatnonzero(np.diff(key >> 1, prepend=-1))
+    uses = np.add.reduceat(key & 1, first) if flag is not None and len(key) else np.diff(np.append(first, len(key)))
+    key = key[first] >> 1
+    key, text = np.divmod(key, rows)
+    key, w = np.divmod(key, n)
+    block, u = np.divmod(key, n)
     at = np.searchsorted(block, np.arange(side * side + 1))
     for b in np.flatnonzero(np.diff(at)):
         part = slice(at[b], at[b + 1])
         own_u, u_at = np.unique(u[part], return_inverse=True)
         own_w, w_at = np.unique(w[part], return_inverse=True)
-        yield int(b // side), int(b % side), names[own_u], names[own_w], u_at, w_at, row[part], uses[part]
+        yield int(b // side), int(b % side), names[own_u], names[own_w], u_at, w_at, text[part], uses[part]
 
 
 def count_pairs(docs: DataFrame, side: int) -> DataFrame:
@@ -114,7 +128,7 @@ def count_pairs(docs: DataFrame, side: int) -> DataFrame:
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for meta, context, word, row in _batches(batches):
             train = ~meta.column("held_out").to_numpy(zero_copy_only=False)
-            for i, j, names, words, u, w, _, uses in _in_blocks(context, word, np.zeros(len(row), np.int64), train[row].astype(np.int64), side):
+            for i, j, names, words, u, w, _, uses in _in_blocks(context, word, np.int64(0), 1, train[row], side):
                 yield _rows([(i, j, 0, 0, pack(sorted_pack(names), sorted_pack(words), np.diff(u, prepend=0), w, uses))])
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -398,7 +412,7 @@ def _scored(rows: DataFrame, pairs: DataFrame, kept: list[tuple[DataFrame, DataF
             ids = meta.column("doc_id")
             about = pack(ids.is_null().to_numpy(zero_copy_only=False).astype(np.int64), meta.column("held_out").to_numpy(zero_copy_only=False).astype(np.int64), total, ids.fill_null(0).to_numpy().view(np.uint64))
             yield _rows([(-1, part, 0, number, about)])
-            for i, j, names, words, u, w, texts, uses in _in_blocks(context, word, row, np.ones(len(row), np.int64), side):
+            for i, j, names, words, u, w, texts, uses in _in_blocks(context, word, row, meta.num_rows, None, side):
                 order = np.argsort(texts, kind="stable")
                 blob = pack(np.array([part, number]), sorted_pack(names), sorted_pack(words), np.diff(texts[order], prepend=0), u[order], w[order], uses[order])
                 yield _rows([(i, j, 100, number, blob)])
