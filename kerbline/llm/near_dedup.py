@@ -227,36 +227,49 @@ def join_bucket(values: np.ndarray, ends: np.ndarray, labels: list[int], least:
     return out
 
 
-def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: float = LEAST) -> DataFrame:
-    """doc_id, class_id (smallest id of the class) and class_size of every row.
-
-    Equal texts are one class from the start, so copies cost one row each and are never paired. A null text is an empty
-    one; empty texts are copies of each other. A text of fewer than five words is one shingle. A null id stays in the
-    result and stands for no class unless its class has no other id. Repeated rows are kept. An empty table gives an
-    empty result. Only the two named columns are read.
-    """
+def _classed(docs: DataFrame, id_col: str, text_col: str, least: float) -> DataFrame:
+    """Per row: doc_id, digest of the text, class_id, class_size, and whether it is the row of its class that stays."""
     text = F.coalesce(docs[text_col], F.lit(""))
     rows = docs.select(docs[id_col].cast("long").alias("doc_id"), text.alias("text"))
     known = store(sketches(rows))
-    same = known.groupBy("digest").agg(F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("n"), F.first("keys").alias("keys"), F.first("size").alias("size"))
+    same = known.groupBy("digest").agg(
+        F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("n"), F.first("keys").alias("keys"), F.first("size").alias("size")
+    )
     # A text is known by a 64-bit number of its digest from here on.
     copies = store(same.select("digest", F.xxhash64("digest").alias("rep"), "doc_id", "n", "keys", "size"))
     links = near_links(copies.select("rep", "doc_id", "keys", "size"), rows, least)
     named = copies.select("digest", "rep", F.col("doc_id").alias("least"), "n")
     named = store(_labels(named, components(links)))
-    found = named.groupBy("label").agg(F.min("least").alias("class_id"), F.sum("n").alias("class_size"))
-    by_text = named.join(found, "label").select("digest", "class_id", "class_size")
-    return known.select("doc_id", "digest").join(by_text, "digest").select("doc_id", "class_id", "class_size")
+    first = F.min(F.struct(F.col("least").isNull(), "least", "digest"))
+    found = named.groupBy("label").agg(F.min("least").alias("class_id"), F.sum("n").alias("class_size"), first.alias("first"))
+    by_text = named.join(found, "label").select("digest", "least", "class_id", "class_size", (F.col("digest") == F.col("first.digest")).alias("stays"))
+    joined = known.select("doc_id", "digest").join(by_text, "digest")
+    stays = F.col("stays") & F.col("doc_id").eqNullSafe(F.col("least"))
+    return joined.select("doc_id", "digest", "class_id", "class_size", stays.alias("stays"))
+
+
+def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: float = LEAST) -> DataFrame:
+    """doc_id, class_id (smallest id of the class) and class_size of every row.
+
+    Equal texts are one class from the start, so copies cost one row each and are never paired. A null text is an empty
+    one; empty texts are copies of each other. A text of fewer than five words is one shingle. A null id stays in the
+    result; a text whose ids are all null is a class without id. Repeated rows are kept. An empty table gives an
+    empty result. Only the two named columns are read.
+    """
+    return _classed(docs, id_col, text_col, least).select("doc_id", "class_id", "class_size")
 
 
 def keep_one(docs: DataFrame, least: float = LEAST) -> DataFrame:
-    """The rows of docs whose id is the smallest of their class; of rows with the same id, one. Rows are removed by
-    their ids, so that texts are shuffled only where there are many to remove or ids repeat."""
-    classes = store(near_classes(docs, least=least))
-    gone = classes.where("not (doc_id <=> class_id)").select("doc_id").distinct()
-    kept = docs.join(gone, docs["doc_id"].eqNullSafe(gone["doc_id"]), "left_anti")
-    repeated = store(classes.groupBy("doc_id").count().where("count > 1").select("doc_id"))
+    """One row of docs for each class, with all its columns: that with the smallest id, of equal ids that with the
+    smallest text digest. Rows are removed by id and digest, so texts are shuffled only where there are many to remove
+    or rows repeat."""
+    classed = store(_classed(docs, "doc_id", "text", least))
+    digest = F.sha2(F.coalesce(docs["text"], F.lit("")), 256)
+    same = lambda other: docs["doc_id"].eqNullSafe(other["doc_id"]) & (digest == other["digest"])
+    gone = classed.where("not stays").select("doc_id", "digest").distinct()
+    kept = docs.join(gone, same(gone), "left_anti")
+    repeated = store(classed.where("stays").groupBy("doc_id", "digest").count().where("count > 1").select("doc_id", "digest"))
     if repeated.isEmpty():
         return kept
-    own = kept["doc_id"].eqNullSafe(repeated["doc_id"])
-    return kept.join(repeated, own, "left_anti").union(kept.join(repeated, own, "left_semi").dropDuplicates(["doc_id"]))
+    once = kept.join(repeated, same(repeated), "left_semi").dropDuplicates(["doc_id", "text"])
+    return kept.join(repeated, same(repeated), "left_anti").union(once)
