@@ -32,6 +32,8 @@ STEP = WINDOW - ANCHOR + 1
 SEED = 5
 BUCKET_BYTES = 8 << 20
 BATCH_BYTES = 12 << 20
+#: Anchors are chosen in slices of about so many bytes; each takes some sixty bytes of memory.
+SLICE_BYTES = 1 << 20
 SAMPLE = 20_000
 _BIAS = np.uint64(1 << 63)
 _ROW = "at long, part int, number int, kind int, blob binary"
@@ -103,7 +105,7 @@ def equal_windows(data: np.ndarray, starts: np.ndarray) -> np.ndarray:
 def _texts(batches: Iterator[pa.RecordBatch], column: str, limit: int) -> Iterator[list[pa.RecordBatch]]:
     held, size = [], 0
     for batch in batches:
-        for piece in slices(batch, column):
+        for piece in slices(batch, column, SLICE_BYTES):
             held.append(piece)
             size += piece.column(column).nbytes
             if size >= limit:
@@ -217,23 +219,31 @@ def _spans(chosen: DataFrame, splitters: np.ndarray, buckets: int) -> DataFrame:
         for batch in batches:
             for begin in range(0, batch.num_rows, 2000):
                 piece = batch.slice(begin, 2000)
-                data, offsets = text_bytes(unpacked(piece.column("packed")))
-                text, low, high, place = anchors(data, offsets)
-                heads = np.searchsorted(text, np.arange(piece.num_rows))
-                picked = [heads[row] + np.cumsum(unpack(blob)[0]) for row, blob in enumerate(piece.column("picked").to_pylist())]
-                picked = np.concatenate([*picked, np.zeros(0, np.int64)])
-                text, low, high, place = text[picked], low[picked], high[picked], place[picked]
                 first = piece.column("first").to_numpy().view(np.uint64) + _BIAS
-                bucket = np.searchsorted(splitters, _leads(data, place), side="right")
-                size = high - low + WINDOW
-                whole = mix(range_hash(prefix_hash(data), low, low + size) + (place - low).astype(np.uint64))
+                picked = piece.column("picked").to_pylist()
+                parts, pieces, done, moved = [], [], 0, 0
+                texts = pa.RecordBatch.from_arrays([unpacked(piece.column("packed"))], ["text"])
+                for few in slices(texts, "text", SLICE_BYTES):
+                    data, offsets = text_bytes(few.column("text"))
+                    text, low, high, place = anchors(data, offsets)
+                    heads = np.searchsorted(text, np.arange(few.num_rows))
+                    own = [heads[row] + np.cumsum(unpack(picked[done + row])[0]) for row in range(few.num_rows)]
+                    own = np.concatenate(own)
+                    text, low, size, place = text[own], low[own], high[own] - low[own] + WINDOW, place[own]
+                    whole = mix(range_hash(prefix_hash(data), low, low + size) + (place - low).astype(np.uint64))
+                    bucket = np.searchsorted(splitters, _leads(data, place), side="right")
+                    parts.append((text + done, low + moved, low - offsets[text], size, whole, bucket))
+                    pieces.append(data)
+                    done, moved = done + few.num_rows, moved + len(data)
+                data = np.concatenate(pieces)
+                text, low, inside, size, whole, bucket = (np.concatenate([part[k] for part in parts]) for k in range(6))
                 order = np.lexsort((first[text], whole, bucket))
-                text, low, size, place, bucket, whole = text[order], low[order], size[order], place[order], bucket[order], whole[order]
+                text, low, inside, size, bucket, whole = text[order], low[order], inside[order], size[order], bucket[order], whole[order]
                 new = np.ones(len(text), bool)
                 new[1:] = (whole[1:] != whole[:-1]) | (bucket[1:] != bucket[:-1])
                 head = np.flatnonzero(new)
                 at = np.searchsorted(bucket[head], np.arange(buckets + 1))
-                about = pack(piece.column("rep").to_numpy().view(np.uint64), first, text, low - offsets[text], np.cumsum(new) - 1, size[head], at)
+                about = pack(piece.column("rep").to_numpy().view(np.uint64), first, text, inside, np.cumsum(new) - 1, size[head], at)
                 yield _rows([(-1 - (part + number) % buckets, part, number, ABOUT, about)])
                 for b in np.flatnonzero(np.diff(at)).tolist():
                     own = head[at[b] : at[b + 1]]
@@ -321,7 +331,8 @@ def _kept(rows: DataFrame, keep_text: bool) -> DataFrame:
                 piece = batch.slice(begin, 500)
                 left = []
                 for packed, spans in zip(unpacked(piece.column("packed")).to_pylist(), piece.column("spans").to_pylist(), strict=True):
-                    text, (since, length), at, parts = packed.encode(), unpack(spans), 0, []
+                    text, at, parts = packed.encode(), 0, []
+                    since, length = unpack(spans) if spans else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
                     for start, size in zip(np.cumsum(since, dtype=np.uint64).tolist(), length.tolist(), strict=True):
                         parts.append(text[at:start])
                         at = start + size
@@ -357,7 +368,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     texts = packed_texts(named)
     chosen = texts.join(firsts.join(picked, "rep"), "rep").where("id = first").select("rep", "first", "packed", "picked")
     spans = store(_spans(chosen, splitters, buckets))
-    results = _kept(texts.join(spans, "rep").join(firsts, "rep").where("id = first").select("rep", "packed", "n_removed", "n_spans", "spans"), keep_text)
+    # With the texts asked for, those that keep everything are returned too.
+    results = _kept(texts.join(spans, "rep", "left" if keep_text else "inner").join(firsts, "rep").where("id = first").select("rep", "packed", "n_removed", "n_spans", "spans"), keep_text)
     joined = known.join(firsts, "rep").join(results, "rep", "left")
     copy = (F.coalesce("doc_id", largest) > F.col("first")) & (F.col("n_bytes") >= WINDOW)
     nothing = F.lit(hashlib.sha256(b"").hexdigest())
