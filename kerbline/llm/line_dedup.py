@@ -68,7 +68,7 @@ def _part_keys(begins: np.ndarray, ends: np.ndarray, prefix: np.ndarray) -> np.n
             before = range_hash(prefix, begins, begins + low)
             behind = range_hash(prefix, ends - (length - high), ends)
             keys.append(mix(before * np.uint64(3) + behind + (length * PARTS + part).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)))
-    return (np.stack(keys, axis=1) >> np.uint64(32)).astype(np.uint32).view(np.int32)
+    return np.stack(keys, axis=1).view(np.int64)
 
 
 def scanned_lines(rows: DataFrame) -> DataFrame:
@@ -86,9 +86,9 @@ def scanned_lines(rows: DataFrame) -> DataFrame:
                 lists = [key if has else None for key, has in zip(keys.tolist(), first.tolist(), strict=True)]
                 owners = pa.array(owner)
                 columns = [pa.array(hashes.view(np.int64)), *(piece.column(c).take(owners) for c in ("doc_id", "rep"))]
-                yield pa.RecordBatch.from_arrays([*columns, pa.array(number), pa.array(lists, pa.list_(pa.int32()))], ["h", "doc_id", "rep", "line", "keys"])
+                yield pa.RecordBatch.from_arrays([*columns, pa.array(number), pa.array(lists, pa.list_(pa.int64()))], ["h", "doc_id", "rep", "line", "keys"])
 
-    return rows.mapInArrow(run, "h long, doc_id long, rep long, line long, keys array<int>")
+    return rows.mapInArrow(run, "h long, doc_id long, rep long, line long, keys array<long>")
 
 
 def _sharing(keyed: DataFrame) -> DataFrame:
@@ -127,10 +127,10 @@ def _variants(lines: DataFrame) -> DataFrame:
                 less = prefix[place] + (prefix[n] - prefix[place + 1]) * inverse
                 v = mix(np.concatenate([less, prefix[n:]]) + mix(np.append(np.full(n, n - 1), n).astype(np.uint64)))
                 columns = [pa.array(v.view(np.int64)), pa.array(np.append(place, -1))]
-                columns += [row.column(c).take(pa.array(np.zeros(n + 1, np.int64))) for c in ("h", "doc_id", "rep", "line")]
-                yield pa.RecordBatch.from_arrays(columns, ["v", "place", "h", "doc_id", "rep", "line"])
+                columns += [row.column(c).take(pa.array(np.zeros(n + 1, np.int64))) for c in ("h", "doc_id", "line")]
+                yield pa.RecordBatch.from_arrays(columns, ["v", "place", "h", "doc_id", "line"])
 
-    return lines.mapInArrow(run, "v long, place long, h long, doc_id long, rep long, line long")
+    return lines.mapInArrow(run, "v long, place long, h long, doc_id long, line long")
 
 
 def _earlier(variants: DataFrame) -> DataFrame:
@@ -160,7 +160,7 @@ def _earlier(variants: DataFrame) -> DataFrame:
 
     schema = pa.schema([("h", pa.int64()), ("earlier", pa.int64())])
     tasks = int(variants.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = variants.repartition(tasks, "v").sortWithinPartitions("v", "doc_id", "rep", "line")
+    dealt = variants.repartition(tasks, "v").sortWithinPartitions("v", "doc_id", "line", "h")
     return dealt.mapInArrow(run, "h long, earlier long").distinct()
 
 
@@ -192,14 +192,14 @@ def removed_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
     A line goes if an earlier one, by document id and number, is equal or at most one edit away, kept or not; lines of fewer than
     MIN_CHARS characters go only for an equal one, blank lines never. A null or empty text is one blank line. A null id comes
-    last. Rows with the same id and text are one document and get the same result each; of different texts with the
-    same id the order is that of their hashes. An empty table gives an empty result. Only the two named columns are read.
+    last. Rows with the same id and text are one document and get the same result each; lines of different
+    texts with the same id are ordered by number, then by hash. An empty table gives an empty result. Only the two named columns are read.
     """
     largest = F.lit(2**63 - 1).cast("long")
     text = F.coalesce(docs[text_col], F.lit(""))
     own = docs.select(docs[id_col].cast("long").alias("id"), F.coalesce(docs[id_col].cast("long"), largest).alias("doc_id"), F.xxhash64(text).alias("rep"), text.alias("text"))
     lines = store(scanned_lines(own.select("doc_id", "rep", "text")))
-    place = F.struct("doc_id", "rep", "line")
+    place = F.struct("doc_id", "line", "rep")
     distinct = store(lines.groupBy("h").agg(F.min(place).alias("first"), F.first("keys", ignorenulls=True).alias("keys")))
     sharing = _sharing(distinct.where("keys is not null").select(F.explode("keys").alias("key"), "h"))
     wanted = distinct.select("h", "first").join(sharing, "h").select("h", "first.*")
@@ -207,7 +207,7 @@ def removed_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     candidates = store(_texts_of(packed_texts(own.select("doc_id", "rep", "text")).join(by_text, ["doc_id", "rep"])).dropDuplicates(["h"]))
     near = store(_verified(store(_earlier(_variants(candidates))), candidates).withColumn("near", F.lit(True)))
     judged = lines.select("h", "doc_id", "rep", "line").join(distinct.select("h", "first"), "h").join(near, "h", "left")
-    gone = judged.where(F.col("near") | (F.struct("doc_id", "rep", "line") > F.col("first")))
+    gone = judged.where(F.col("near") | (F.struct("doc_id", "line", "rep") > F.col("first")))
     removed = gone.groupBy("doc_id", "rep").agg(F.array_sort(F.collect_set(F.col("line").cast("int"))).alias("removed"))
     sizes = own.select("id", "doc_id", "rep", (F.length("text") - F.length(F.replace("text", F.lit("\n"))) + 1).cast("long").alias("n_lines"))
     none = F.expr("cast(array() as array<int>)")
