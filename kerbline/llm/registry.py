@@ -8,14 +8,15 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kerbline.llm import decontamination, fingerprints, language_model, line_dedup, mixing, near_dedup, quality, substring_dedup, token_files, toxicity
+from kerbline.llm import decontamination, fingerprints, language_model, line_dedup, mixing, near_dedup, oracle, quality, substring_dedup, token_files, toxicity
 from kerbline.llm.stage import let_workers_import, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return line_dedup.removed_lines(table(spark, sf_dir, "documents"))
+    found = line_dedup.removed_lines(table(spark, sf_dir, "documents"))
+    return found.withColumn("removed", F.array_join("removed", ","))
 
 
 def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -74,4 +75,5 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """The other operators rest on hashes, samples, models or tokenizers that SQL has no equal for."""
+    return {"op1_line_dedup": oracle.LINE_DEDUP, "op4_suffix_dedup": oracle.SUFFIX_DEDUP}

@@ -189,6 +189,13 @@ def test_there_is_one_query_for_each_operator():
     assert set(registry.oracle_sql()) <= set(registry.queries())
 
 
+@pytest.mark.parametrize("name", registry.oracle_sql())
+def test_queries_equal_their_sql(spark, name):
+    import compare
+
+    assert compare.differences(registry.queries()[name](spark, SF), compare.connect(SF), registry.oracle_sql()[name]) == []
+
+
 def test_the_pipeline_is_its_stages_one_after_another(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     ids, current = {r.doc_id for r in docs.select("doc_id").collect()}, docs
