@@ -24,6 +24,7 @@ BINS = 512
 BITS = 4
 SHINGLE = 5
 _FIRST_STEPS = 32
+_SALTS = mix(np.arange(1, BINS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 _SHIFT = np.uint64(64 - BINS.bit_length() + 1)
 
 
@@ -43,9 +44,8 @@ def bin_values(hashes: np.ndarray) -> np.ndarray:
     place = (ordered >> _SHIFT).astype(np.int64)
     first = np.flatnonzero(np.diff(place, prepend=-1))
     filled = place[first]
-    values = np.zeros(BINS, np.uint8)
-    # The smallest values of a bin have few high bits left to differ in, so the bits kept are those of a new hash.
-    values[filled] = mix(ordered[first]) & np.uint64((1 << BITS) - 1)
+    values = np.zeros(BINS, np.uint64)
+    values[filled] = ordered[first]
     if len(filled) < BINS:
         has = np.zeros(BINS, bool)
         has[filled] = True
@@ -55,7 +55,9 @@ def bin_values(hashes: np.ndarray) -> np.ndarray:
         late = ~near.any(axis=1)
         taken[late] = filled[step[empty[late]][:, filled].argmin(axis=1)]
         values[empty] = values[taken]
-    return values
+    # The bits kept are those of a new hash in every bin: where a few values fill all bins, two texts must not agree by
+    # chance in all of them at once.
+    return (mix(values ^ _SALTS) & np.uint64((1 << BITS) - 1)).astype(np.uint8)
 
 
 def fingerprints(column: pa.Array) -> list[np.ndarray | None]:
