@@ -127,11 +127,14 @@ def test_quality_agrees_with_held_out_labels(spark):
 
 
 def test_sparse_sites_are_shrunk_most(spark):
-    rows = [(i, "good text here", "big") for i in range(400)] + [(1000, "### $$$", "tiny")]
+    rows = [(i, "good text here" if i % 2 else "### $$$ &&&", "big") for i in range(400)] + [(1000, "### $$$ &&&", "tiny")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
-    model = (np.zeros(quality.FEATURES), np.ones(quality.FEATURES), np.r_[2.0, np.full(quality.FEATURES, -1.0)])
-    got = {r.doc_id: r for r in quality.score_documents(docs, model, docs["source"], docs["source"]).collect()}
-    assert got[1000].text_chance < got[1000].host_posterior
+    weights = np.zeros(quality.FEATURES)
+    weights[list(quality._CLASSES).index("symbol")] = -4.0
+    got = {r.doc_id: r for r in quality.score_documents(docs, (np.zeros(len(weights)), np.ones(len(weights)), np.r_[1.0, weights]), docs["source"], docs["source"]).collect()}
+    mean = np.mean([r.text_chance for r in got.values()])
+    assert got[1000].text_chance < got[1000].host_posterior <= mean + 1e-9
+    assert abs(got[0].host_posterior - mean) < 0.01
 
 
 def test_quality_of_odd_rows(odd, none, labels):
@@ -160,16 +163,20 @@ def test_paraphrases_need_the_answer(spark):
     changed = [w if i % 3 else f"other{i}" for i, w in enumerate(words("q", 24))]
     filler = " ".join(f"plain{i % 50}" for i in range(200))
     rows = [
-        (1, f"{filler} {item} {filler}"),
-        (2, f"{filler} {' '.join(changed)}. {' '.join(words('ans', 6))}. {filler}"),
-        (3, f"{filler} {' '.join(w if i % 2 else f'x{i}' for i, w in enumerate(words('q', 24)))}. {filler}"),
-        (4, filler),
+        (1_000_001, f"{filler} {item} {filler}"),
+        (1_000_002, f"{filler} {' '.join(changed)}. {' '.join(words('ans', 6))}. {filler}"),
+        (1_000_003, f"{filler} {' '.join(w if i % 2 else f'x{i}' for i, w in enumerate(words('q', 24)))}. {filler}"),
+        (1_000_004, filler),
     ]
-    docs = spark.createDataFrame(rows, "doc_id long, text string")
-    items = spark.createDataFrame([(9, item), (10, None), (11, "...")], "item_id long, text string")
-    got = {r.doc_id: r["items"] for r in decontamination.find_items(docs, items).collect()}
-    assert got == {1: [9], 2: [9], 3: [], 4: []}
-    assert sorted(r.doc_id for r in decontamination.without_items(docs, items).collect()) == [3, 4]
+    # Among the supplied documents: the latent space needs a corpus.
+    supplied, benchmark = (spark.read.parquet(f"/root/testdata/sf0.01/{name}.parquet") for name in ("documents", "benchmark"))
+    docs = supplied.select("doc_id", "text").union(spark.createDataFrame(rows, "doc_id long, text string"))
+    own = spark.createDataFrame([(1009, item), (1010, None), (1011, "...")], "item_id long, text string")
+    items = benchmark.select("item_id", "text").union(own)
+    got = {r.doc_id - 1_000_000: r["items"] for r in decontamination.find_items(docs, items).where("doc_id > 1000000").collect()}
+    assert got == {1: [1009], 2: [1009], 3: [], 4: []}
+    left = decontamination.without_items(docs, items).where("doc_id > 1000000").collect()
+    assert sorted(r.doc_id for r in left) == [1_000_003, 1_000_004]
 
 
 def test_decontamination_of_odd_rows(spark, odd, none):
