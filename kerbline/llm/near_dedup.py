@@ -8,7 +8,9 @@ shingle sequences, inside the band that a similarity of `least` allows, its simi
 
 Buckets are never expanded into all pairs. The smallest and the largest member are compared with all others. A bucket
 that this leaves in several classes goes to one task with its texts, which looks for all links that are missing, if it
-is of bounded size; a larger one is split by agreement in a further band, again and again.
+is of bounded size. Of a larger one, the members outside its largest class are dealt out in blocks, and each block is
+held against all members, block by block, in a task for each two blocks. So every pair that agrees in a band is joined or
+has been found not to be alike, whatever the size of its bucket.
 """
 
 from __future__ import annotations
@@ -29,8 +31,10 @@ BANDS = 16
 TUPLE = 3
 SHINGLE = 5
 LEAST = 0.8
-#: A bucket whose number of texts times its number of shingles is at most this is settled in one task.
+#: A bucket whose number of texts times its number of shingles is at most this is settled in one task, a larger one in
+#: blocks of about BLOCK shingles.
 WORK = 1_000_000_000
+BLOCK = 1 << 20
 
 _SEEDS = mix(np.arange(1, BANDS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
@@ -165,23 +169,25 @@ def near_links(keyed: DataFrame, rows: DataFrame, least: float = LEAST) -> DataF
     stars = shared.where("rep <> first").select(F.col("first").alias("a"), F.col("rep").alias("b"))
     other_stars = shared.where("rep <> last").select(F.col("rep").alias("a"), F.col("last").alias("b"))
     links = store(verified(store(stars.union(other_stars).distinct()), texts, least))
-    classes = store(components(links))
-    for _ in range(BANDS):
-        members = keyed.select("rep", "size").join(_labels(shared.select("rep", "band", "key"), classes), "rep")
-        sizes = members.groupBy("key").agg(
-            F.count(F.lit(1)).cast("double").alias("n"), F.sum("size").alias("total"), F.min("label").alias("low"), F.max("label").alias("high")
-        )
-        open_ = sizes.where("low <> high").select("key", (F.col("n") * F.col("total") > WORK).alias("large"))
-        left = store(members.join(open_, "key"))
-        found = store(_links_within(left.where("not large"), texts, least))
-        links = links.union(found)
-        large = left.where("large").select("rep", F.col("band").alias("before"), F.col("key").alias("at")).distinct()
-        if large.isEmpty():
-            break
-        classes = store(components(links))
-        split = large.join(keyed, "rep").select("rep", "before", "at", F.posexplode("keys").alias("band", "own")).where("band > before")
-        shared = _shared(split.select("rep", "band", F.xxhash64("at", "band", "own").alias("key")))
-    return links
+    members, sizes = _open(keyed, shared, store(components(links)))
+    bounded = sizes.where(F.col("n") * F.col("total") <= WORK)
+    links = links.union(store(_links_within(members.join(bounded.select("key"), "key"), texts, least)))
+    large = store(shared.join(sizes.where(F.col("n") * F.col("total") > WORK).select("key"), "key").select("rep", "band", "key"))
+    if large.isEmpty():
+        return links
+    # The bounded buckets may have joined much of the large ones.
+    members, sizes = _open(keyed, large, store(components(links)))
+    return links.union(store(_links_across(members, sizes, texts, least)))
+
+
+def _open(keyed: DataFrame, shared: DataFrame, classes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Members of the buckets that are in several classes, and these buckets' numbers of texts and shingles."""
+    members = keyed.select("rep", "size").join(_labels(shared.select("rep", "band", "key"), classes), "rep")
+    sizes = members.groupBy("key").agg(
+        F.count(F.lit(1)).cast("double").alias("n"), F.sum("size").alias("total"), F.min("label").alias("low"), F.max("label").alias("high")
+    )
+    sizes = store(sizes.where("low <> high").select("key", "n", "total"))
+    return store(members.join(sizes.select("key"), "key")), sizes
 
 
 def _links_within(members: DataFrame, texts: DataFrame, least: float) -> DataFrame:
@@ -204,6 +210,86 @@ def _links_within(members: DataFrame, texts: DataFrame, least: float) -> DataFra
     return dealt.mapInArrow(run, "a long, b long")
 
 
+def _links_across(members: DataFrame, sizes: DataFrame, texts: DataFrame, least: float) -> DataFrame:
+    """The same links for buckets too large for one task: members outside a bucket's largest class ask, all members
+    answer. A task holds one block of those that ask and one of those that answer.
+    """
+    by_label = members.groupBy("key", "label").agg(F.count(F.lit(1)).alias("held"), F.sum("size").alias("shingles"))
+    largest = by_label.groupBy("key").agg(F.max(F.struct("held", "label", "shingles")).alias("largest"), F.sum("shingles").alias("total"))
+    rest = F.col("total") - F.col("largest.shingles")
+    plan = largest.select(
+        "key",
+        F.col("largest.label").alias("main"),
+        F.ceil(F.greatest(rest, F.lit(1)) / BLOCK).alias("asking"),
+        F.ceil(F.greatest("total", F.lit(1)) / BLOCK).alias("answering"),
+    )
+    block = lambda of, salt: F.pmod(F.xxhash64("rep", F.lit(salt)), F.col(of))
+    planned = members.join(plan, "key").withColumn("outside", F.col("label") != F.col("main"))
+    each = lambda of: F.explode(F.sequence(F.lit(0).cast("long"), F.col(of) - 1))
+    kept = ["key", "rep", "label", "outside"]
+    ask = planned.where("outside").select(*kept, F.lit(True).alias("asks"), block("asking", 1).alias("x"), each("answering").alias("y"))
+    answer = planned.select(*kept, F.lit(False).alias("asks"), each("asking").alias("x"), block("answering", 2).alias("y"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, rows in rows_by_key(batches, ["key", "x", "y"]):
+            held = list(rows)
+            if not held[-1]["asks"] or held[0]["asks"]:
+                continue
+            values, ends = shingles(*word_hashes(*text_bytes(unpacked(pa.array([row["packed"] for row in held])))), SHINGLE)
+            sides = [row["asks"] for row in held], [row["outside"] for row in held]
+            reps = np.array([row["rep"] for row in held], np.int64)
+            found = np.array(join_blocks(values, ends, [row["label"] for row in held], reps, *sides, least), np.int64).reshape(-1, 2)
+            yield pa.RecordBatch.from_arrays([pa.array(reps[found[:, 0]]), pa.array(reps[found[:, 1]])], ["a", "b"])
+
+    tasks = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    cells = ask.union(answer).join(texts, "rep").repartition(tasks, "key", "x", "y").sortWithinPartitions("key", "x", "y", "asks", "rep")
+    return cells.mapInArrow(run, "a long, b long")
+
+
+def join_blocks(
+    values: np.ndarray, ends: np.ndarray, labels: list[int], reps: np.ndarray, asks: list[bool], outside: list[bool], least: float = LEAST
+) -> list[tuple[int, int]]:
+    """Pairs of a text that asks and one that answers, at least `least` alike, that join the classes given by `labels` as
+    far as possible. Of two texts that both ask somewhere (`outside`) the one with the smaller number asks.
+
+    Alike texts share `least` of the larger one's labelled shingles, so any 1 - least of one text's and one more hold a
+    shared one. The rarest are looked up.
+    """
+    _, dense, counts = np.unique(labelled(values, ends), return_inverse=True, return_counts=True)
+    size = np.diff(ends)
+    text = np.repeat(np.arange(len(size)), size)
+    by_rarity = np.lexsort((dense, counts[dense], text))
+    place = np.arange(len(dense)) - np.repeat(ends[:-1], size)
+    looked_up = by_rarity[place < (size - np.ceil(least * size - 1e-9) + 1)[text]]
+    asks, outside = np.array(asks), np.array(outside)
+    answering = looked_up[~asks[text[looked_up]]]
+    answering = answering[np.argsort(dense[answering], kind="stable")]
+    answers, terms = text[answering], dense[answering]
+    asking = looked_up[asks[text[looked_up]]]
+    bounds = np.searchsorted(text[asking], np.arange(len(size) + 1))
+    empty = np.flatnonzero(~asks & (size == 0))
+    root = np.unique(np.array(labels), return_inverse=True)[1]
+    mark = np.zeros(len(dense) + 1, bool)
+    out = []
+    for i in np.flatnonzero(asks).tolist():
+        own = dense[asking[bounds[i] : bounds[i + 1]]]
+        low, high = np.searchsorted(terms, own), np.searchsorted(terms, own, side="right")
+        met = np.unique(np.concatenate([answers[a:b] for a, b in zip(low, high, strict=True)])) if size[i] else empty
+        met = met[(root[met] != root[i]) & ~(outside[met] & (reps[met] < reps[i]))]
+        mark[dense[ends[i] : ends[i + 1]]] = True
+        for j in met.tolist():
+            if root[i] == root[j]:
+                continue
+            shared = np.count_nonzero(mark[dense[ends[j] : ends[j + 1]]])
+            if shared + 1e-9 < least / (1 + least) * (size[i] + size[j]):
+                continue
+            if similarity(values[ends[i] : ends[i + 1]], values[ends[j] : ends[j + 1]], least) >= least:
+                out.append((i, j))
+                root[root == root[j]] = root[i]
+        mark[dense[ends[i] : ends[i + 1]]] = False
+    return out
+
+
 def join_bucket(values: np.ndarray, ends: np.ndarray, labels: list[int], least: float = LEAST) -> list[tuple[int, int]]:
     """Pairs of a bucket's texts, at least `least` alike, that join the classes given by `labels` as far as possible."""
     _, dense = np.unique(labelled(values, ends), return_inverse=True)

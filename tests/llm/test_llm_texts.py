@@ -150,6 +150,56 @@ def test_bucket_links_join_all_that_are_near(spark):
     assert len(links) == 2 and all(3 not in link for link in links)
 
 
+def test_buckets_over_the_work_of_a_task_are_searched_whole(spark, monkeypatch):
+    import numpy as np
+
+    random = np.random.default_rng(7)
+    rows = []
+    for group in range(14):
+        words = [f"w{i}" for i in range(70)] + [f"g{group}x{i}" for i in range(30)]
+        for _ in range(3):
+            own = list(words)
+            own[int(random.integers(0, 100))] = f"r{len(rows)}"
+            own[int(random.integers(0, 100))] = f"s{len(rows)}"
+            rows.append(" ".join(own))
+    sequences = [shingle_sequence(text) for text in rows]
+    root = list(range(len(rows)))
+    for i in range(len(rows)):
+        for j in range(i):
+            if root[i] != root[j] and aligned(sequences[i], sequences[j]) >= 0.8:
+                low, high = sorted((root[i], root[j]))
+                root = [low if r == high else r for r in root]
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    monkeypatch.setattr(near_dedup, "WORK", 300)
+    for block in (500, 1 << 20):
+        monkeypatch.setattr(near_dedup, "BLOCK", block)
+        assert {r.doc_id: r.class_id for r in near_dedup.near_classes(docs).collect()} == dict(enumerate(root))
+
+
+def test_blocks_of_a_bucket_join_as_the_bucket_does():
+    import numpy as np
+
+    random = np.random.default_rng(11)
+    for _ in range(20):
+        base = random.integers(0, 60, (4, 40)).astype(np.uint64)
+        rows = [np.where(random.random(40) < 0.05, random.integers(0, 60, 40), base[i % 4]).astype(np.uint64)[: random.integers(34, 41)] for i in range(30)]
+        rows += [np.zeros(0, np.uint64)] * 2
+        ends = np.cumsum([0, *map(len, rows)])
+        labels = list(range(len(rows)))
+
+        def classes(links, labels=labels):
+            root = list(labels)
+            for i, j in links:
+                root = [root[i] if r == root[j] else r for r in root]
+            return {tuple(i for i, r in enumerate(root) if r == one) for one in root}
+
+        whole = classes(near_dedup.join_bucket(np.concatenate(rows), ends, labels))
+        twice, both_ends = np.concatenate(rows * 2), np.cumsum([0, *map(len, rows * 2)])
+        reps = np.array(labels * 2)
+        links = near_dedup.join_blocks(twice, both_ends, labels * 2, reps, [False] * len(rows) + [True] * len(rows), [True] * (2 * len(rows)))
+        assert classes([(reps[i], reps[j]) for i, j in links]) == whole
+
+
 def test_near_classes_of_odd_rows(odd, none):
     got = near_dedup.near_classes(odd)
     assert got.count() == odd.count()
