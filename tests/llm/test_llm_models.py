@@ -179,6 +179,37 @@ def test_paraphrases_need_the_answer(spark):
     assert sorted(r.doc_id for r in left) == [1_000_003, 1_000_004]
 
 
+def test_every_edited_copy_is_found_as_by_brute_force(spark):
+    """Copies and paraphrases with words replaced, against an alignment of every window with every item."""
+    docs, items = (spark.read.parquet(f"/root/testdata/sf0.01/{name}.parquet") for name in ("documents", "benchmark"))
+    kept = docs.where("length(text) > 300").orderBy("doc_id").limit(160).select("doc_id", "text").collect()
+    random = np.random.default_rng(17)
+    pool = [word for row in kept for word in row.text.split()]
+    bench = [(row.item_id, row.text) for row in items.orderBy("item_id").collect()]
+    rows = []
+    for at, row in enumerate(kept):
+        words = bench[at % len(bench)][1].split()
+        free = len(words) if at % 2 else len(words) - len(words) // 3
+        share = (0.1, 0.2, 0.29, 0.35, 0.4, 0.5)[at % 6]
+        for place in random.choice(free, min(free, int(share * len(words))), replace=False):
+            words[place] = pool[random.integers(len(pool))]
+        text = row.text.split()
+        middle = len(text) // 2
+        rows.append((row.doc_id, " ".join([*text[:middle], *words, *text[middle:]])))
+    model = decontamination.Items.of([one for one, _ in bench], [text for _, text in bench])
+    want = set()
+    for doc, text in rows:
+        numbers, ends = decontamination._term_numbers(pa.array([text]), model.terms)
+        for item, sequence, answer in zip(model.ids, model.sequences, model.answers, strict=True):
+            around = len(sequence) // 2
+            for first, last in zip(*decontamination.passages(ends), strict=True):
+                if decontamination.matches(sequence, answer, numbers[max(0, first - around) : last + around]):
+                    want.add((doc, item))
+    edited = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {(r.doc_id, item) for r in decontamination.find_items(edited, items).collect() for item in r["items"]}
+    assert len(want) > 60 and got == want
+
+
 def test_decontamination_of_odd_rows(spark, odd, none):
     items = spark.read.parquet(f"{SF}/benchmark.parquet")
     got = decontamination.find_items(odd, items).collect()
