@@ -88,31 +88,40 @@ def _bucket(hashes: np.ndarray, side: int) -> np.ndarray:
     return ((hashes >> np.uint64(32)) * np.uint64(side) >> np.uint64(32)).astype(np.int64)
 
 
+#: Sort keys below this fit one number.
+KEYS = 2**63
+
+
 def _in_blocks(context: np.ndarray, word: np.ndarray, row: np.ndarray, rows: int, flag: np.ndarray | None, side: int) -> Iterator[tuple]:
     """Tokens grouped by block: its numbers i and j, its sorted contexts and words, and per distinct (context, word, row)
     their places in these and how many tokens (with `flag` set, if given) there are.
 
-    Everything a token says is put in one number and sorted; batches are small enough for 63 bits.
+    Everything a token says is put in one number and sorted, or kept in four where that takes over 63 bits.
     """
     names = np.unique(np.append(word, _END))
     n = len(names)
-    key = (_bucket(context, side) * side + _bucket(word, side)) * n
-    key += np.searchsorted(names, context)
-    key *= n
-    key += np.searchsorted(names, word)
-    key *= 2 * rows
-    key += 2 * row
-    if flag is not None:
-        key += flag
-    if side * side * n * n * 2 * rows >= 2**63:
-        raise ValueError("a batch of texts has too many different words for one sort key")
-    key.sort()
-    first = np.flatnonzero(np.diff(key >> 1, prepend=-1))
-    uses = np.add.reduceat(key & 1, first) if flag is not None and len(key) else np.diff(np.append(first, len(key)))
-    key = key[first] >> 1
-    key, text = np.divmod(key, rows)
-    key, w = np.divmod(key, n)
-    block, u = np.divmod(key, n)
+    block = _bucket(context, side) * side + _bucket(word, side)
+    u, w = np.searchsorted(names, context), np.searchsorted(names, word)
+    if side * side * n * n * 2 * int(rows) < KEYS:
+        key = (((block * n + u) * n + w) * rows + row) * 2
+        if flag is not None:
+            key += flag
+        key.sort()
+        first = np.flatnonzero(np.diff(key >> 1, prepend=-1))
+        uses = np.add.reduceat(key & 1, first) if flag is not None and len(key) else np.diff(np.append(first, len(key)))
+        key, text = np.divmod(key[first] >> 1, rows)
+        key, w = np.divmod(key, n)
+        block, u = np.divmod(key, n)
+    else:
+        # Too many different words and texts for one number: sorted by four.
+        text = np.broadcast_to(row, len(block))
+        order = np.lexsort((text, w, u, block))
+        columns = [column[order] for column in (block, u, w, text)]
+        new = np.ones(len(order), bool)
+        new[1:] = np.any([column[1:] != column[:-1] for column in columns], axis=0)
+        first = np.flatnonzero(new)
+        uses = np.add.reduceat(flag[order].astype(np.int64), first) if flag is not None and len(order) else np.diff(np.append(first, len(order)))
+        block, u, w, text = (column[first] for column in columns)
     at = np.searchsorted(block, np.arange(side * side + 1))
     for b in np.flatnonzero(np.diff(at)):
         part = slice(at[b], at[b + 1])

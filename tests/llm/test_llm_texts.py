@@ -385,6 +385,21 @@ def test_predictions_of_a_context_sum_to_one(spark):
     assert got.count() == 9 and got.where("score >= 0").isEmpty()
 
 
+def test_batches_too_large_for_one_sort_key_are_cut_the_same_way(monkeypatch):
+    import numpy as np
+
+    random = np.random.default_rng(4)
+    context, word = (np.sort(random.integers(0, 2**62, 50).astype(np.uint64))[random.integers(0, 50, 2000)] for _ in range(2))
+    row, flag = np.sort(random.integers(0, 9, 2000)), random.random(2000) < 0.5
+    for rows, texts, flags in ((9, row, flag), (1, np.int64(0), flag), (9, row, None)):
+        monkeypatch.setattr(language_model, "KEYS", 2**63)
+        one = [[np.asarray(x).tolist() for x in part] for part in language_model._in_blocks(context, word, texts, rows, flags, 4)]
+        monkeypatch.setattr(language_model, "KEYS", 0)
+        assert one == [[np.asarray(x).tolist() for x in part] for part in language_model._in_blocks(context, word, texts, rows, flags, 4)]
+    whole = list(language_model._in_blocks(context, word, np.int64(0), 2**60, None, 4))
+    assert whole
+
+
 def test_scores_of_odd_rows(odd, none):
     got = language_model.score_documents(odd).collect()
     assert len(got) == odd.count()
