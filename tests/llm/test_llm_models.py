@@ -190,7 +190,7 @@ def test_every_edited_copy_is_found_as_by_brute_force(spark):
     for at, row in enumerate(kept):
         words = bench[at % len(bench)][1].split()
         free = len(words) if at % 2 else len(words) - len(words) // 3
-        share = (0.1, 0.2, 0.29, 0.35, 0.4, 0.5)[at % 6]
+        share = (0.4, 0.2, 0.45, 0.29, 0.5, 0.29)[at % 6]
         for place in random.choice(free, min(free, int(share * len(words))), replace=False):
             words[place] = pool[random.integers(len(pool))]
         text = row.text.split()
