@@ -2,7 +2,7 @@
 
 import pytest
 
-from conftest import SMALL
+from compare import SMALL
 from kerbline.operators.quality import check_trips, keep_valid, quarantine
 from kerbline.plans import gold, reports, silver
 from workload import stage

@@ -4,7 +4,7 @@ import pytest
 
 import __spark_entry__ as contract
 import compare
-from conftest import SMALL
+from compare import SMALL
 from workload.queries import all_queries
 
 QUERIES = {name: contract.queries()[name] for name in all_queries()}

@@ -4,7 +4,7 @@ import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
-from conftest import SMALL
+from compare import SMALL
 from kerbline import Lake, TripLimits, run_months, schemas
 from kerbline.plans import gold
 from kerbline.plans.incremental import PUBLISHED, batches_holding, land_trips, session_zone

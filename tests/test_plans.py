@@ -2,7 +2,7 @@
 
 import re
 
-from conftest import SMALL
+from compare import SMALL
 from kerbline import TripLimits
 from kerbline.functions.months import in_months
 from kerbline.plans import gold, reports, silver
