@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kerbline.llm import decontamination, fingerprints, language_model, line_dedup, mixing, near_dedup, oracle, piece_encoding, quality, substring_dedup, token_files, toxicity, whitening
+from kerbline.llm import conversations, decontamination, fingerprints, language_model, line_dedup, mixing, near_dedup, oracle, piece_encoding, quality, substring_dedup, token_files, toxicity, whitening
 from kerbline.llm.stage import let_workers_import, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -61,6 +61,11 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
 
 
+def op11_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations")
+    return conversations.report_all(rows, conversations.damage(rows))
+
+
 def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A deviation that no long holds is null here; the operator returns it as a decimal."""
     whitened = whitening.whiten(table(spark, sf_dir, "embeddings"))
