@@ -1,10 +1,12 @@
-"""SentencePiece ids of whole texts through a table of distinct chunks.
+"""SentencePiece ids of whole texts through tables of distinct chunks.
 
 A chunk is a run of whitespace markers and the characters up to the next run. Where no piece of the vocabulary has a
 marker behind another character, and the normaliser changes nothing but spaces, no piece can lie in two chunks: the ids of
-a text are those of its chunks, one after another. Each batch of texts keeps its distinct chunks and, for every text, the
-numbers of its chunks in order. Equal chunks of all batches meet once, are segmented once by the library, and the ids go
-back to the batches by number. A batch's share of a very common chunk is one row, however often it is used.
+a text are those of its chunks, one after another. A task reads its texts as numbers of distinct chunks, has the library
+segment each chunk of its table once, all new ones in one call, and joins ids and decoded characters back by position.
+
+The table is the task's own. One for the whole corpus has to bring every chunk of every task together and back again,
+which costs far more than segmenting a chunk once in each task that has it (README has the figures).
 """
 
 from __future__ import annotations
@@ -15,21 +17,18 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from kerbline.llm.blobs import pack, unpack
 from kerbline.llm.hashing import slices
-from kerbline.llm.stage import store
 
 MARK = "▁"
 BATCH_BYTES = 1 << 23
 OUT_BYTES = 1 << 22
+#: A table with more chunks than this is begun anew, so that a task's memory is bounded; ids do not depend on it.
+TABLE_CHUNKS = 1_000_000
 #: A text of its own put before a chunk, so that the chunk's first marker is one inside a text.
 LEAD = "."
 _CHUNK = re.compile(" +[^ ]*")
-_LAST = 2**31 - 1
 
 
 @lru_cache(maxsize=2)
@@ -56,61 +55,45 @@ def chunks_of(text: str, split: bool = True) -> list[str]:
     return _CHUNK.findall(" " + text.replace(MARK, " ")) if text else []
 
 
-class _Numbers(dict):
+class ChunkTable(dict):
+    """Numbers of distinct chunks; by number the ids of a chunk and the bytes that they decode to."""
+
+    def __init__(self, model: str, split: bool):
+        super().__init__()
+        self._processor, self._split = _processor(model), split
+        self._lead = self._processor.encode(LEAD) if split else []
+        self._head = len(self._processor.decode(self._lead))
+        self._new: list[str] = []
+        self.ids: list[bytes] = []
+        self.decoded: list[bytes] = []
+
     def __missing__(self, chunk: str) -> int:
         self[chunk] = number = len(self)
+        self._new.append(chunk)
         return number
 
-
-def _numbered(docs: DataFrame, id_col: str, text_col: str, split: bool) -> DataFrame:
-    """Per batch of texts: its distinct chunks, its ids and, for each text, how many chunks it has and their numbers."""
-    schema = pa.schema([
-        ("batch", pa.int64()), ("chunks", pa.list_(pa.string())), ("doc_ids", pa.list_(pa.int64())), ("sizes", pa.list_(pa.int32())),
-        ("numbers", pa.binary()),
-    ])
-
-    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at = TaskContext.get().partitionId() << 32
-        for batch in batches:
-            for piece in slices(batch, "text", BATCH_BYTES):
-                known, sizes, runs = _Numbers(), [], []
-                for text in piece.column("text").to_pylist():
-                    found = chunks_of(text or "", split)
-                    sizes.append(len(found))
-                    runs.append(np.fromiter(map(known.__getitem__, found), np.uint32, len(found)))
-                row = {"batch": at, "chunks": list(known), "doc_ids": piece.column("doc_id").to_pylist(), "sizes": sizes}
-                yield pa.RecordBatch.from_pylist([row | {"numbers": pack(np.concatenate(runs))}], schema)
-                at += 1
-
-    named = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text"))
-    return store(named.mapInArrow(number, "batch long, chunks array<string>, doc_ids array<long>, sizes array<int>, numbers binary"))
-
-
-def _segmented(numbered: DataFrame, model: str, split: bool) -> DataFrame:
-    """Per batch and number: ids of the chunk and its decoded bytes. Equal chunks stand together and are segmented once."""
-
-    def segment(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        processor = _processor(model)
-        lead = processor.encode(LEAD) if split else []
-        head = len(processor.decode(lead))
-        last: tuple[str, bytes, bytes] | None = None
-        for batch in batches:
-            chunks = batch.column("chunk").to_pylist()
-            new = list(dict.fromkeys(chunk for chunk in chunks if last is None or chunk != last[0]))
-            found = processor.encode([LEAD + chunk if split else chunk for chunk in new], num_threads=1) if new else []
-            texts = processor.decode(found, num_threads=1) if new else []
-            known = {last[0]: last} if last else {}
-            for chunk, ids, text in zip(new, found, texts, strict=True):
-                known[chunk] = (chunk, np.array(ids[len(lead) :], "<u4").tobytes(), text[head:].encode())
-            last = known[chunks[-1]] if chunks else last
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("batch"), batch.column("number"), pa.array([known[c][1] for c in chunks], pa.binary()), pa.array([known[c][2] for c in chunks], pa.binary())],
-                ["batch", "number", "ids", "decoded"],
-            )
-
-    rows = numbered.select("batch", F.posexplode("chunks").alias("number", "chunk"))
-    met = rows.repartition("chunk").sortWithinPartitions("chunk")
-    return met.mapInArrow(segment, "batch long, number int, ids binary, decoded binary")
+    def numbers(self, text: str) -> np.ndarray:
+        found = chunks_of(text, self._split)
+        return np.fromiter(map(self.__getitem__, found), np.uint32, len(found))
+
+    def segment_new(self) -> None:
+        """Have the library segment the chunks that came in since the last call."""
+        if not self._new:
+            return
+        found = self._processor.encode([LEAD + chunk if self._split else chunk for chunk in self._new], num_threads=1)
+        texts = self._processor.decode(found, num_threads=1)
+        sizes = np.array([len(ids) for ids in found])
+        flat = np.concatenate([np.array(ids, "<u4") for ids in found]).tobytes()
+        ends = (4 * np.cumsum(sizes)).tolist()
+        for end, size, text in zip(ends, sizes.tolist(), texts, strict=True):
+            self.ids.append(flat[end - 4 * (size - len(self._lead)) : end])
+            self.decoded.append(text[self._head :].encode())
+        self._new = []
+
+    def join(self, numbers: np.ndarray) -> tuple[bytes, bytes]:
+        """Ids and decoded bytes of a text; its first marker is not part of it."""
+        order = numbers.tolist()
+        return b"".join(map(self.ids.__getitem__, order)), b"".join(map(self.decoded.__getitem__, order))[int(self._split) :]
 
 
 def encode_texts(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str = "text", begin: bool = True, end: bool = True) -> DataFrame:
@@ -119,44 +102,35 @@ def encode_texts(docs: DataFrame, model: str, id_col: str = "doc_id", text_col:
 
     A null text is an empty one: it has the begin and end ids alone. Null and repeated ids are kept, a row each. Where
     pieces may cross markers (see stays_in_chunks) a text is one chunk. Only the two named columns are read. An empty
-    table gives no rows. A task holds one batch of texts, of 8 MB or a single longer text, at a time.
+    table gives no rows. A task holds its table and 8 MB of text, or a single longer text, at a time.
     """
     split = stays_in_chunks(model)
-    numbered = _numbered(docs, id_col, text_col, split)
     processor = _processor(model)
     head = np.array([processor.bos_id()] if begin else [], "<u4").tobytes()
     tail = np.array([processor.eos_id()] if end else [], "<u4").tobytes()
     schema = pa.schema([("doc_id", pa.int64()), ("ids", pa.binary()), ("decoded", pa.string())])
 
-    def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids: list[bytes] = []
-        texts: list[bytes] = []
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = ChunkTable(model, split)
         for batch in batches:
-            numbers = batch.column("number").to_pylist()
-            for row, number in enumerate(numbers):
-                if number != _LAST:
-                    ids.append(batch.column("ids")[row].as_py())
-                    texts.append(batch.column("decoded")[row].as_py())
-                    continue
-                order, at, held, size = unpack(batch.column("numbers")[row].as_py())[0].tolist(), 0, [], 0
-                for doc, count in zip(batch.column("doc_ids")[row].as_py(), batch.column("sizes")[row].as_py(), strict=True):
-                    own = order[at : at + count]
-                    at += count
-                    encoded = head + b"".join(map(ids.__getitem__, own)) + tail
-                    decoded = b"".join(map(texts.__getitem__, own))[int(split) :]
-                    held.append({"doc_id": doc, "ids": encoded, "decoded": decoded.decode()})
-                    size += len(encoded) + len(decoded)
+            for piece in slices(batch, "text", BATCH_BYTES):
+                if len(table) > TABLE_CHUNKS:
+                    table = ChunkTable(model, split)
+                numbered = [table.numbers(text or "") for text in piece.column("text").to_pylist()]
+                table.segment_new()
+                held, size = [], 0
+                for doc, numbers in zip(piece.column("doc_id").to_pylist(), numbered, strict=True):
+                    ids, decoded = table.join(numbers)
+                    held.append({"doc_id": doc, "ids": head + ids + tail, "decoded": decoded.decode()})
+                    size += len(ids) + len(decoded)
                     if size >= OUT_BYTES:
                         yield pa.RecordBatch.from_pylist(held, schema)
                         held, size = [], 0
                 if held:
                     yield pa.RecordBatch.from_pylist(held, schema)
-                ids, texts = [], []
 
-    of_batch = numbered.select("batch", F.lit(_LAST).alias("number"), "doc_ids", "sizes", "numbers")
-    rows = _segmented(numbered, model, split).unionByName(of_batch, allowMissingColumns=True)
-    met = rows.repartition("batch").sortWithinPartitions("batch", "number")
-    return met.mapInArrow(join, "doc_id long, ids binary, decoded string")
+    named = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text"))
+    return named.mapInArrow(encode, "doc_id long, ids binary, decoded string")
 
 
 def default_model() -> str:

@@ -60,16 +60,21 @@ def test_a_model_whose_pieces_cross_markers_gets_whole_texts(spark, processor, m
         assert (bytes(row.ids), row.decoded) == _plain(processor, TEXTS[row.doc_id])
 
 
-def test_small_batches_give_the_same(spark, small, monkeypatch):
+def test_small_batches_and_tables_give_the_same(spark, small, monkeypatch):
     whole = {r.doc_id: (bytes(r.ids), r.decoded) for r in encode_texts(small, default_model()).collect()}
-    numbered = piece_encoding._numbered
-
-    def cut(docs, *args):
-        monkeypatch.setattr(piece_encoding, "BATCH_BYTES", 1 << 12)
-        return numbered(docs.repartition(5), *args)
-
-    monkeypatch.setattr(piece_encoding, "_numbered", cut)
-    assert {r.doc_id: (bytes(r.ids), r.decoded) for r in encode_texts(small, default_model()).collect()} == whole
+    monkeypatch.setattr(piece_encoding, "BATCH_BYTES", 1 << 12)
+    monkeypatch.setattr(piece_encoding, "OUT_BYTES", 1 << 12)
+    monkeypatch.setattr(piece_encoding, "TABLE_CHUNKS", 300)
+    again = encode_texts(small.repartition(5), default_model()).collect()
+    assert {r.doc_id: (bytes(r.ids), r.decoded) for r in again} == whole
+
+
+def test_a_chunk_is_segmented_once(monkeypatch):
+    table = piece_encoding.ChunkTable(default_model(), True)
+    first, second = table.numbers("to be or not to be"), table.numbers("be it")
+    table.segment_new()
+    assert first.tolist() == [0, 1, 2, 3, 0, 1] and second.tolist() == [1, 4] and len(table.ids) == 5
+    assert table.join(second)[1] == b"be it"
 
 
 def test_chunks_cover_the_text():
