@@ -270,7 +270,10 @@ def run_months(
 
     `months_per_pass` builds and records a long range in slices once all its files
     are in bronze: no shuffle is larger than a slice, and a failure costs one
-    slice. The dedup key holds the pickup time, so slices give the same tables.
+    slice. Each slice's files land as a batch of their own, its number behind the
+    batch id, so a slice opens the files of the few batches that hold its months.
+    The dedup key holds the pickup time, so slices give the same tables; of copies
+    in files of two slices the later one's survives.
     `gather` is that of `publish_silver`; switch it off for passes of one to three
     months.
     """
@@ -281,17 +284,18 @@ def run_months(
         # The work list is one short row per month and names the files to open.
         months = sorted(row.month for row in todo.collect())
 
-        if months:
-            files = scan_months(spark, [trip_files.format(month=month) for month in months], lenient=lenient)
-            land_trips(files, lake, trip_source, batch_id)
+        size = months_per_pass or max(len(months), 1)
+        parts = [months[i : i + size] for i in range(0, len(months), size)]
+        for number, part in enumerate(parts, 1):
+            files = scan_months(spark, [trip_files.format(month=month) for month in part], lenient=lenient)
+            land_trips(files, lake, trip_source, batch_id if len(parts) == 1 else f"{batch_id}-{number:04d}")
 
         lookup = bronze.stamp_load(scan_zone_csv(spark, zone_csv), zone_source, batch_id, zone_csv)
         replace_table(lookup, lake.path("taxi_zones"), lake.fmt)
         replace_table(silver.silver_zones(lake.read(spark, "taxi_zones")), lake.path("silver_zones"), lake.fmt)
         replace_table(lake.read(spark, "silver_zones"), lake.path("dim_taxi_zones"), lake.fmt)
 
-        size = months_per_pass or max(len(months), 1)
-        for part in (months[i : i + size] for i in range(0, len(months), size)):
+        for part in parts:
             publish_silver(spark, lake, limits, part, lenient, batches_holding(spark, lake, part), gather)
             written = lake.read(spark, "silver_trips")
             require_valid(only_months(written, None if recheck_all_months else part, "pickup_month"), limits)

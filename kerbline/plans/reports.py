@@ -6,11 +6,11 @@ complete tie-break so that equal rows cannot change places or fall off a limit.
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kerbline.functions.money import money_avg, money_sum
-from kerbline.operators.ranking import dense_rank_desc, top_dense_rank
+from kerbline.operators.ranking import top_dense_rank
 from kerbline.operators.spikes import demand_spikes
 
 
@@ -105,11 +105,12 @@ def airport_routes(airport: DataFrame) -> DataFrame:
 
 
 def airport_revenue_rank(airport: DataFrame) -> DataFrame:
-    """Routes summed over all months, ranked by revenue."""
+    """Routes summed over all months, ranked by revenue. One row per pair of zones meets in the window; where a relation
+    has far more rows than that, `dense_rank_desc` ranks it in ranges."""
     routes = airport.groupBy("pickup_zone", "dropoff_zone").agg(
         F.sum("trip_count").alias("trip_count"), money_sum("revenue").alias("revenue")
     )
-    ranked = dense_rank_desc(routes, "revenue", "revenue_rank")
+    ranked = routes.withColumn("revenue_rank", F.dense_rank().over(Window.orderBy(*_down("revenue"))))
     return ranked.orderBy(*_up("revenue_rank", "pickup_zone", "dropoff_zone"))
 
 

@@ -4,7 +4,8 @@ Columns new to a table are accepted on every write: formats that keep a table
 schema need the mergeSchema option for that, plain Parquet does not look at it.
 """
 
-from pyspark.sql import DataFrame, DataFrameWriter
+from pyspark.sql import DataFrame, DataFrameWriter, Observation
+from pyspark.sql import functions as F
 
 
 def _writer(df: DataFrame, fmt: str, mode: str) -> DataFrameWriter:
@@ -32,22 +33,6 @@ def replace_table(df: DataFrame, path: str, fmt: str = "parquet", column: str |
     (writer.partitionBy(column) if column else writer).save(path)
 
 
-def _month_files(df: DataFrame, path: str, column: str, months: list[str]) -> dict[str, set[str]]:
-    """File names in the folders of some months, asked of the path's own file system."""
-    jvm, conf = df.sparkSession._jvm, df.sparkSession._jsparkSession.sessionState().newHadoopConf()
-    found = {}
-    for month in months:
-        folder = jvm.org.apache.hadoop.fs.Path(f"{path}/{column}={month}")
-        store = folder.getFileSystem(conf)
-        found[month] = {f.getPath().getName() for f in store.listStatus(folder)} if store.exists(folder) else set()
-    return found
-
-
-def _clear_month(df: DataFrame, path: str, column: str, month: str) -> None:
-    folder = df.sparkSession._jvm.org.apache.hadoop.fs.Path(f"{path}/{column}={month}")
-    folder.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(folder, True)
-
-
 def replace_months(
     df: DataFrame,
     path: str,
@@ -59,8 +44,9 @@ def replace_months(
     """Replace the months present in `df` and leave every other month alone.
 
     Of the months named in `months`, those without a row in `df` are emptied: a
-    dynamic overwrite alone would leave their old rows. Their folders are removed
-    after the write, and only if it put nothing there.
+    dynamic overwrite alone would leave their old rows. Which months had rows is
+    noted by the write itself, one short value each; only where some had none is
+    the table asked which of those hold rows, and these get an empty file.
 
     `gather=False` saves the shuffle where rows already come month by month or
     span only a few months. The overwrite mode is an option of this write; the
@@ -73,8 +59,20 @@ def replace_months(
         named = ", ".join(f"'{month}'" for month in months)
         writer.option("replaceWhere", f"{column} IN ({named})").save(path)
         return
-    before = _month_files(df, path, column, months or [])
+    if not months:
+        writer.option("partitionOverwriteMode", "dynamic").save(path)
+        return
+    written = Observation()
+    writer = _writer(df.observe(written, F.collect_set(column).alias("months")), fmt, "overwrite").partitionBy(column)
     writer.option("partitionOverwriteMode", "dynamic").save(path)
-    for month, files in _month_files(df, path, column, months or []).items():
-        if files and files == before[month]:
-            _clear_month(df, path, column, month)
+    without = sorted(set(months) - set(written.get["months"]))
+    if without:
+        _empty_months(df, path, column, without)
+
+
+def _empty_months(df: DataFrame, path: str, column: str, months: list[str]) -> None:
+    spark = df.sparkSession
+    stored = spark.read.schema(f"{column} string").parquet(path).where(F.col(column).isin(months))
+    nothing = spark.createDataFrame([], df.drop(column).schema).coalesce(1)
+    for row in stored.select(column).distinct().collect():
+        nothing.write.mode("overwrite").parquet(f"{path}/{column}={row[0]}")

@@ -495,6 +495,18 @@ _QUERIES: dict[str, tuple[list[str], str]] = {
     "airport_trip_mart": (["airport"], "SELECT * FROM airport"),
     "payment_behavior_mart": (["payment"], "SELECT * FROM payment"),
     "trip_efficiency_mart": (["efficiency"], "SELECT * FROM efficiency"),
+    "trip_efficiency_parts": (
+        ["fact"],
+        """
+        SELECT pickup_borough, trip_month, round(sum(trip_distance), 4) AS distance_sum, count(trip_distance) AS distance_n,
+               round(sum(trip_duration_minutes), 4) AS duration_sum, count(trip_duration_minutes) AS duration_n,
+               round(sum(mile_fare), 4) AS mile_fare_sum, count(mile_fare) AS mile_fare_n,
+               round(sum(minute_fare), 4) AS minute_fare_sum, count(minute_fare) AS minute_fare_n
+        FROM (SELECT *, fare_amount / CASE WHEN trip_distance > 0 THEN trip_distance END AS mile_fare,
+                     fare_amount / CASE WHEN trip_duration_minutes > 0 THEN trip_duration_minutes END AS minute_fare FROM fact)
+        GROUP BY pickup_borough, trip_month
+        """,
+    ),
     "report_hourly_demand": (
         ["demand"],
         "SELECT trip_date, trip_hour, pickup_borough, pickup_zone, pickup_trip_count FROM demand",

@@ -455,7 +455,14 @@ EFFICIENCY_AVERAGES = ["avg_trip_distance", "avg_trip_duration_minutes", "avg_fa
 
 @query
 def trip_efficiency_mart(spark, sf_dir):
-    return rounded(gold.efficiency_mart(gold.efficiency_parts(_fact(spark, sf_dir))), *EFFICIENCY_AVERAGES)
+    """From the stored monthly parts, as a run builds it."""
+    return rounded(gold.efficiency_mart(stage.table(spark, sf_dir, "trip_efficiency_parts")), *EFFICIENCY_AVERAGES)
+
+
+@query
+def trip_efficiency_parts(spark, sf_dir):
+    sums = [f"{name}_sum" for name in ("distance", "duration", "mile_fare", "minute_fare")]
+    return rounded(gold.efficiency_parts(_fact(spark, sf_dir)), *sums)
 
 
 # -- reports --------------------------------------------------------------
