@@ -8,9 +8,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from kerbline import schemas
 from kerbline.functions.money import money_sum
-from kerbline.operators import intervals, moving, rollup, spikes
+from kerbline.operators import intervals, moving, rollup, sketches, spells, spikes
 from kerbline.operators.asof import asof_join
+from kerbline.operators.upsert import upsert_months
+from kerbline.plans import comparisons
+from kerbline.sinks import replace_months
+from kerbline.sinks.bucketed import write_bucketed
+from kerbline.sources.tables import load_table
+from kerbline.streaming import hourly
 from workload import stage
 from workload.queries import rounded
 
@@ -20,6 +27,12 @@ Query = Callable[[SparkSession, str], DataFrame]
 NAME_CHANGES = 4
 FIRST_NAMES = 707_356_800  # 1992-06-01
 OVERLAP_BIN_SECONDS = 3600
+SPELL_GAP_SECONDS = 1800
+CORRECTED_MONTHS = ("1995-03", "1997-11")
+BUCKETS = 8
+# Four standard errors of a distinct sketch, and twice the rank error of a quantile sketch.
+DISTINCT_ERROR, QUANTILE_ERROR = 0.065, 0.033
+SKETCHES = "row_count bigint, distinct_sketch binary, value_sketch binary, trip_month string"
 
 _registry: dict[str, Query] = {}
 
@@ -148,3 +161,112 @@ def payments_side_by_side(spark, sf_dir):
     return rollup.side_by_side(
         _payment(spark, sf_dir), ["trip_month", "pickup_borough"], "payment_type", [1, 2, 3, 4, 5, 6], F.sum("trip_count"), "trips_of_"
     )
+
+
+# -- sketches -------------------------------------------------------------
+
+
+@query
+def sketched_months(spark, sf_dir):
+    """Distinct route days and fare quartiles of each year from stored monthly sketches, held against exact values."""
+    path = stage.scratch_path(spark, "sketches")
+    counted = ["pickup_location_id", "dropoff_location_id", "trip_date"]
+    fact = _fact(spark, sf_dir)
+    replace_months(sketches.month_sketches(fact, ["trip_month"], counted, "fare_amount"), path, "trip_month")
+    stored = load_table(spark, path, SKETCHES)
+    year = F.substring("trip_month", 1, 4).alias("year")
+    found = sketches.estimates(sketches.merged(stored, [year]), [0.25, 0.5, 0.75])
+    trips = fact.select(year, *counted, "fare_amount").join(found.select("year", "quantiles"), "year")
+    below = [F.avg((F.col("fare_amount") <= F.get("quantiles", i)).cast("int")).alias(f"below_{i}") for i in range(3)]
+    upto = [F.avg((F.col("fare_amount") < F.get("quantiles", i)).cast("int")).alias(f"upto_{i}") for i in range(3)]
+    exact = trips.groupBy("year").agg(F.countDistinct(*counted).alias("route_days"), *below, *upto)
+    near = F.lit(True)
+    for i, rank in enumerate((0.25, 0.5, 0.75)):
+        near = near & (F.col(f"below_{i}") >= rank - QUANTILE_ERROR) & (F.col(f"upto_{i}") <= rank + QUANTILE_ERROR)
+    return found.join(exact, "year").select(
+        "year",
+        "row_count",
+        "route_days",
+        (F.abs(F.col("distinct_estimate") - F.col("route_days")) <= DISTINCT_ERROR * F.col("route_days")).alias("distinct_near"),
+        near.alias("quartiles_near"),
+    )
+
+
+# -- streams and sessions -------------------------------------------------
+
+
+@query
+def stream_hourly_demand(spark, sf_dir):
+    """The delivered files as a stream, in two or more batches; nothing is late enough to be dropped."""
+    stage.bronze_lake(spark, sf_dir)
+    folder = stage.month_files(spark, sf_dir).rsplit("/", 1)[0]
+    path = stage.scratch_path(spark, "hours")
+    hourly.run_available(spark, folder, path, stage.scratch_path(spark, "checkpoint"), "20000 days", files_per_batch=60)
+    return load_table(spark, path, hourly.HOURLY)
+
+
+@query
+def zone_busy_spells(spark, sf_dir):
+    trips = _fact(spark, sf_dir)
+    return spells.spells_of_instants(trips, ["pickup_zone"], "pickup_ts", SPELL_GAP_SECONDS, "passenger_count")
+
+
+# -- subqueries -----------------------------------------------------------
+
+
+@query
+def zones_above_borough_mean(spark, sf_dir):
+    return comparisons.zones_above_borough_mean(_demand(spark, sf_dir))
+
+
+@query
+def zones_with_airport_route(spark, sf_dir):
+    return comparisons.zones_with_airport_route(_zones(spark, sf_dir), stage.table(spark, sf_dir, "airport_trip_mart"), 2)
+
+
+@query
+def days_without_card_payment(spark, sf_dir):
+    return comparisons.days_without_payment(_payment(spark, sf_dir), 1)
+
+
+@query
+def days_above_week_before(spark, sf_dir):
+    return comparisons.days_above_all_of_week_before(spikes.zone_days(_demand(spark, sf_dir)))
+
+
+# -- buckets and corrections ----------------------------------------------
+
+
+def bucketed_tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Fact and demand mart bucketed by pickup zone."""
+    made = []
+    for name, source in (("fact", _fact(spark, sf_dir)), ("demand", _demand(spark, sf_dir))):
+        path = stage.scratch_path(spark, f"bucketed_{name}")
+        made.append(write_bucketed(source, path.rsplit("/", 1)[1].replace("-", "_"), path, "pickup_location_id", BUCKETS))
+    return made[0], made[1]
+
+
+@query
+def bucketed_zone_shares(spark, sf_dir):
+    """Each zone's trips, its busiest hour and fares, from two bucketed tables."""
+    fact, demand = bucketed_tables(spark, sf_dir)
+    trips = fact.groupBy("pickup_location_id").agg(F.count("*").alias("trips"), money_sum("fare_amount").alias("fares"))
+    busiest = demand.groupBy("pickup_location_id").agg(F.max("pickup_trip_count").alias("busiest_hour"))
+    return trips.hint("merge").join(busiest, "pickup_location_id")
+
+
+@query
+def upsert_corrections(spark, sf_dir):
+    """The demand mart after corrections of two months: changed, removed and new rows, some corrected twice."""
+    path = stage.scratch_path(spark, "corrected")
+    demand = _demand(spark, sf_dir)
+    replace_months(demand, path, "trip_month")
+    rows = demand.where(F.col("trip_month").isin(*CORRECTED_MONTHS) & (F.col("pickup_location_id") % 3 == 0))
+    count = F.col("pickup_trip_count")
+    first = rows.withColumns({"pickup_trip_count": count + 1000, "gone": F.col("trip_hour") == 5, "at": F.lit(1)})
+    second = rows.where("trip_hour = 7").withColumns({"pickup_trip_count": count + 2000, "gone": F.lit(False), "at": F.lit(2)})
+    new = rows.where("trip_hour = 9").withColumns({"trip_hour": F.lit(33), "gone": F.lit(False), "at": F.lit(1)})
+    corrections = first.unionByName(second).unionByName(new)
+    keys = ["trip_date", "trip_hour", "pickup_location_id"]
+    upsert_months(corrections, path, schemas.DEMAND_MART, keys, [F.desc("at")], "trip_month", "trip_date", "gone")
+    return load_table(spark, path, schemas.DEMAND_MART)

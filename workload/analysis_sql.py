@@ -126,6 +126,90 @@ _QUERIES: dict[str, tuple[list[str], str]] = {
         + ", ".join(f"CAST(sum(trip_count) FILTER (payment_type = {n}) AS BIGINT) AS trips_of_{n}" for n in range(1, 7))
         + " FROM payment GROUP BY 1, 2",
     ),
+    "sketched_months": (
+        ["fact"],
+        """
+        SELECT substr(trip_month, 1, 4) AS year, count(*) AS row_count,
+               count(DISTINCT (pickup_location_id, dropoff_location_id, trip_date)) AS route_days,
+               TRUE AS distinct_near, TRUE AS quartiles_near
+        FROM fact GROUP BY 1
+        """,
+    ),
+    "stream_hourly_demand": (
+        ["raw"],
+        """
+        SELECT CAST("PULocationID" AS INTEGER) AS pickup_location_id, date_trunc('hour', tpep_pickup_datetime) AS hour_start,
+               count(*) AS trips, CAST(sum(CAST(passenger_count AS INTEGER)) AS BIGINT) AS passengers,
+               strftime(date_trunc('hour', tpep_pickup_datetime), '%Y-%m') AS hour_month
+        FROM raw GROUP BY ALL
+        """,
+    ),
+    "zone_busy_spells": (
+        ["fact"],
+        """
+        SELECT pickup_zone, min(pickup_ts) AS begins, max(pickup_ts) + INTERVAL 1800 SECOND AS ends, count(*) AS row_count,
+               CAST(sum(passenger_count) AS BIGINT) AS passenger_count, count(DISTINCT pickup_ts) AS instants
+        FROM (
+            SELECT *, sum(starts) OVER (PARTITION BY pickup_zone ORDER BY pickup_ts) AS spell FROM (
+                SELECT pickup_zone, pickup_ts, passenger_count,
+                       CASE WHEN pickup_ts - lag(pickup_ts) OVER (PARTITION BY pickup_zone ORDER BY pickup_ts)
+                                 <= INTERVAL 1800 SECOND THEN 0 ELSE 1 END AS starts
+                FROM fact))
+        GROUP BY pickup_zone, spell
+        """,
+    ),
+    "zones_above_borough_mean": (
+        ["demand"],
+        """
+        SELECT pickup_borough, pickup_zone, pickups FROM (
+            SELECT *, avg(pickups) OVER (PARTITION BY pickup_borough) AS mean FROM (
+                SELECT pickup_borough, pickup_zone, CAST(sum(pickup_trip_count) AS BIGINT) AS pickups FROM demand GROUP BY 1, 2))
+        WHERE pickups > mean
+        """,
+    ),
+    "zones_with_airport_route": (
+        ["zones", "airport"],
+        "SELECT location_id, zone FROM zones WHERE zone IN (SELECT pickup_zone FROM airport WHERE trip_count >= 2)",
+    ),
+    "days_without_card_payment": (
+        ["payment"],
+        """
+        SELECT trip_date, pickup_borough FROM payment GROUP BY 1, 2
+        HAVING count(*) FILTER (payment_type = 1) = 0
+        """,
+    ),
+    "days_above_week_before": (
+        ["zone_daily"],
+        """
+        SELECT d.pickup_zone, d.trip_date, d.pickups
+        FROM zone_daily d JOIN zone_daily e
+          ON d.pickup_zone = e.pickup_zone AND e.trip_date BETWEEN d.trip_date - 7 AND d.trip_date - 1
+        GROUP BY d.pickup_zone, d.trip_date, d.pickups HAVING d.pickups > max(e.pickups)
+        """,
+    ),
+    "bucketed_zone_shares": (
+        ["fact", "demand"],
+        """
+        SELECT f.pickup_location_id, trips, fares, busiest_hour FROM (
+            SELECT pickup_location_id, count(*) AS trips, CAST(sum(CAST(fare_amount AS DECIMAL(18,2))) AS DOUBLE) AS fares
+            FROM fact GROUP BY 1) f
+        JOIN (SELECT pickup_location_id, max(pickup_trip_count) AS busiest_hour FROM demand GROUP BY 1) d
+          ON f.pickup_location_id = d.pickup_location_id
+        """,
+    ),
+    "upsert_corrections": (
+        ["demand"],
+        """
+        SELECT * EXCLUDE (touched) REPLACE (
+                   CASE WHEN NOT touched THEN pickup_trip_count WHEN trip_hour = 7 THEN pickup_trip_count + 2000
+                        ELSE pickup_trip_count + 1000 END AS pickup_trip_count)
+        FROM (SELECT *, trip_month IN ('1995-03', '1997-11') AND pickup_location_id % 3 = 0 AS touched FROM demand)
+        WHERE NOT (touched AND trip_hour = 5)
+        UNION ALL
+        SELECT * REPLACE (33 AS trip_hour) FROM demand
+        WHERE trip_month IN ('1995-03', '1997-11') AND pickup_location_id % 3 = 0 AND trip_hour = 9
+        """,
+    ),
 }
 
 
