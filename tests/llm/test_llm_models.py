@@ -219,6 +219,31 @@ def test_decontamination_of_odd_rows(spark, odd, none):
     assert decontamination.without_items(odd, items).count() == odd.count()
 
 
+def test_the_latent_space_is_that_of_a_plain_decomposition(spark):
+    """All directions kept, the terms' vectors span what numpy's singular vectors span; fewer kept, they are the leading ones."""
+    random = np.random.default_rng(3)
+    size, passages = 12, [random.integers(0, 12, random.integers(1, 9)).astype(np.int32) for _ in range(60)]
+    idf = np.append(random.uniform(0.5, 3, size - 1), 0.0)
+    queries = [random.integers(0, 12, 6).astype(np.int64) for _ in range(4)]
+    matrix = np.zeros((64, size))
+    for row, terms in enumerate([*passages, *queries]):
+        np.add.at(matrix[row], terms, idf[terms])
+    stored = spark.createDataFrame([(bytearray(p.tobytes()),) for p in passages], "terms binary").repartition(3)
+    flat, ends = np.concatenate(queries), np.concatenate([[0], np.cumsum([len(q) for q in queries])])
+    _, singular, right = np.linalg.svd(matrix)
+    for rank in (size, 3):
+        vectors = decontamination.latent_vectors(stored, (flat, ends), idf, rank)
+        want = idf[:, None] * right[:rank].T
+        assert np.allclose(vectors @ vectors.T, want @ want.T, atol=1e-3)
+
+
+def test_candidates_come_from_the_cosine(spark, monkeypatch):
+    """With no passage alike enough, nothing is found: the lookup alone yields no candidate."""
+    docs, items = (spark.read.parquet(f"/root/testdata/sf0.01/{name}.parquet") for name in ("documents", "benchmark"))
+    monkeypatch.setattr(decontamination, "MIN_COSINE", 1.01)
+    assert decontamination.find_items(docs, items).where("contaminated").count() == 0
+
+
 # -- registry and pipeline ------------------------------------------------
 
 
