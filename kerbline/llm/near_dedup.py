@@ -93,15 +93,15 @@ def banded_matches(a: np.ndarray, b: np.ndarray, band: int) -> int:
     differs = np.flatnonzero(a[len(a) - short :][::-1] != b[len(b) - short :][::-1])
     tail = int(differs[0]) if len(differs) else short
     a, b = a[: len(a) - tail], b[: len(b) - tail]
-    places: dict[int, list[int]] = {}
+    places: dict[int, int] = {}
     for column, value in enumerate(b.tolist()):
-        places.setdefault(value, []).append(column)
+        places[value] = places.get(value, 0) | 1 << column
     row = every = (1 << len(b)) - 1
+    width = (1 << 2 * band + 1) - 1
     for line, value in enumerate(a.tolist()):
-        match = 0
-        for column in places.get(value, ()):
-            if abs(column - line) <= band:
-                match |= 1 << column
+        match = places.get(value, 0)
+        if match:
+            match &= width << line - band if line > band else width >> band - line
         if match:
             hit = row & match
             row = ((row + hit) | (row - hit)) & every

@@ -3,6 +3,7 @@
 import hashlib
 import math
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -128,6 +129,15 @@ def test_a_family_of_edited_copies_is_one_class(spark):
     assert all(got[i] == (0, 100) for i in range(100)) and got[100] == (100, 1)
 
 
+def test_long_texts_of_one_word_are_aligned_in_short_time():
+    one = np.full(20_000, 7)
+    other = one.copy()
+    one[[5, -5]], other[[6_000, 11_000]] = 3, 4
+    before = time.perf_counter()
+    assert near_dedup.similarity(one, other) > 0.99
+    assert time.perf_counter() - before < 5
+
+
 def test_alignment_is_exact_inside_its_band():
     import numpy as np
 
