@@ -1,9 +1,11 @@
 """Toxicity by subword-bag embeddings.
 
 A word is the bag of its character n-grams (3 to 5 bytes of UTF-8, marked where they touch the ends) and itself, hashed to
-embedding rows. A text is the average of its words, a word the average of its n-grams, and a linear softmax over two
-classes reads the average. Embeddings and softmax are trained together. A misspelt or inflected word that was never seen
-still has most n-grams of its known forms.
+embedding rows. A word is the average of its n-grams and, with a share of OWN, of its own row; a passage of PASSAGE words is
+the average of its words, and a linear softmax over two classes reads the average. A text is as toxic as its worst
+passage, so that a short insult counts the same in a long text. Embeddings and softmax are trained together, on the
+passage that is worst at the time. A misspelt or inflected word that was never seen still has most n-grams of its
+known forms; what no n-gram tells adds nothing, since embeddings begin at zero.
 """
 
 from __future__ import annotations
@@ -22,9 +24,11 @@ BUCKETS = 1 << 18
 GRAMS = (3, 4, 5)
 DIMENSIONS = 8
 EPOCHS = 15
-#: A bucket that fewer training texts use has no embedding: it could only be learnt by heart.
-LEAST_TEXTS = 10
+PASSAGE = 2
+OWN = 0.3
 RATE = 1.0
+#: Sum of squared slopes that every embedding begins with: what few texts use is learnt slowly.
+CAUTION = 1.0
 BATCH_DOCS = 64
 #: Labelled documents that training may see, by class; those with the smallest hashes of their ids.
 MOST_TOXIC, MOST_CLEAN = 2_000, 6_000
@@ -35,9 +39,9 @@ def held_out(doc_id: Column, modulus: int = HELD_OUT_OF) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit(""))) % modulus == 0
 
 
-def _distinct_words(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Of a slice of texts: the number of each word among the distinct ones, the n + 1 word offsets, and for the n-grams
-    of the distinct words their buckets and the distinct word they belong to."""
+def _distinct_words(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of a slice of texts: the number of each word among the distinct ones, the n + 1 word offsets, and for the rows of
+    the distinct words their buckets, the distinct word they belong to and their shares of it."""
     data, offsets = text_bytes(column)
     starts, ends, firsts = words(data, offsets)
     prefix = prefix_hash(data)
@@ -52,69 +56,95 @@ def _distinct_words(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarra
         touches = (at == begin[owner]).astype(np.uint64) + np.uint64(2) * (at + size == end[owner]).astype(np.uint64)
         buckets.append(mix(range_hash(prefix, at, at + size) + touches) & np.uint64(BUCKETS - 1))
         owners.append(owner)
-    return inverse, firsts, np.concatenate(buckets).astype(np.int64), np.concatenate(owners)
+    owner = np.concatenate(owners)
+    grams = np.bincount(owner, minlength=len(first)) - 1
+    own = np.arange(len(owner)) < len(first)
+    share = np.where(own, np.where(grams[owner] > 0, OWN, 1.0), (1 - OWN) / np.maximum(grams[owner], 1))
+    return inverse, firsts, np.concatenate(buckets).astype(np.int64), owner, share
 
 
-def _features(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Texts of a slice as sparse rows: row, bucket and share of the bucket in the text's average."""
-    inverse, firsts, buckets, owners = _distinct_words(column)
+def _passages(firsts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Word offsets of the passages and the n + 1 passage offsets of the texts; a text without words has no passage."""
     counts = np.diff(firsts)
+    many = -(-counts // PASSAGE)
+    text = np.repeat(np.arange(len(counts)), many)
+    nth = np.arange(len(text)) - np.repeat(np.cumsum(many) - many, many)
+    return np.append(firsts[text] + nth * PASSAGE, firsts[-1]), np.concatenate([[0], np.cumsum(many)])
+
+
+def _features(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Passages of a slice as sparse rows: row, bucket and share of the bucket in the passage's average; and the n + 1
+    passage offsets of the texts."""
+    inverse, firsts, buckets, owners, shares = _distinct_words(column)
+    bounds, spans = _passages(firsts)
     if not len(inverse):
-        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.float32)
-    per_word = np.bincount(owners)
-    text = np.repeat(np.arange(len(counts)), counts)
-    pair, uses = np.unique(text * len(per_word) + inverse, return_counts=True)
-    text, word = pair // len(per_word), pair % len(per_word)
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.float32), spans
     order = np.argsort(owners, kind="stable")
-    ends = np.cumsum(per_word)
-    grams = per_word[word]
-    at = np.repeat(ends[word] - grams, grams) + np.arange(grams.sum()) - np.repeat(np.cumsum(grams) - grams, grams)
-    share = np.repeat(uses / (counts[text] * grams), grams)
-    key, where = np.unique(np.repeat(text, grams) * BUCKETS + buckets[order][at], return_inverse=True)
-    return key // BUCKETS, key % BUCKETS, np.bincount(where, share).astype(np.float32)
+    rows_of = np.bincount(owners)
+    ends = np.cumsum(rows_of)
+    counts = np.diff(bounds)
+    passage = np.repeat(np.arange(len(counts)), counts)
+    rows = rows_of[inverse]
+    at = order[np.repeat(ends[inverse] - rows, rows) + np.arange(rows.sum()) - np.repeat(np.cumsum(rows) - rows, rows)]
+    key, where = np.unique(np.repeat(passage, rows) * BUCKETS + buckets[at], return_inverse=True)
+    share = np.bincount(where, shares[at] / np.repeat(counts[passage], rows))
+    return key // BUCKETS, key % BUCKETS, share.astype(np.float32), spans
+
+
+def _ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The integers of all ranges, one range after another."""
+    return np.repeat(starts - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())
+
+
+def _worst(chances: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Place of the first largest value of each of the groups that follow one another."""
+    most = np.maximum.reduceat(chances, np.cumsum(sizes) - sizes)
+    group = np.repeat(np.arange(len(sizes)), sizes)
+    largest = np.flatnonzero(chances == most[group])
+    return largest[np.unique(group[largest], return_index=True)[1]]
 
 
 def fit(texts: pa.Array, labels: np.ndarray, weights: np.ndarray, seed: int = 1) -> tuple[np.ndarray, float]:
     """Train embeddings and softmax by Adagrad; return the two classes' difference that each bucket contributes, and the
     bias. (With two classes the gradient of an embedding is a multiple of the difference of the softmax's columns.)"""
-    rows, cols, shares = [], [], []
+    rows, cols, shares, spans = [], [], [], [np.zeros(1, np.int64)]
     batch = pa.RecordBatch.from_arrays([texts], ["text"])
-    done = 0
+    passages = 0
     for piece in slices(batch, "text"):
-        row, bucket, share = _features(pc.utf8_lower(piece.column("text")))
-        rows.append(row + done)
+        row, bucket, share, span = _features(pc.utf8_lower(piece.column("text")))
+        rows.append(row + passages)
         cols.append(bucket.astype(np.int32))
         shares.append(share)
-        done += piece.num_rows
-    row, bucket, share = np.concatenate(rows), np.concatenate(cols), np.concatenate(shares)
-    common = np.bincount(bucket, minlength=BUCKETS) >= LEAST_TEXTS
-    kept = common[bucket]
-    row, bucket, share = row[kept], bucket[kept], share[kept]
-    ends = np.searchsorted(row, np.arange(done + 1))
+        spans.append(span[1:] + passages)
+        passages += int(span[-1])
+    row, bucket, share, span = np.concatenate(rows), np.concatenate(cols), np.concatenate(shares), np.concatenate(spans)
+    ends = np.searchsorted(row, np.arange(passages + 1))
     random = np.random.default_rng(seed)
-    table = random.normal(0, 0.1, (BUCKETS, DIMENSIONS)).astype(np.float32) * common[:, None]
+    table = np.zeros((BUCKETS, DIMENSIONS), np.float32)
     head, bias = random.normal(0, 0.1, DIMENSIONS), 0.0
-    past, head_past, bias_past = np.full(BUCKETS, 1e-8), np.full(DIMENSIONS, 1e-8), 1e-8
+    past, head_past, bias_past = np.full(BUCKETS, CAUTION), np.full(DIMENSIONS, 1e-8), 1e-8
     for epoch in range(EPOCHS):
         rate = RATE * (1 - epoch / EPOCHS)
-        order = random.permutation(done)
-        for begin in range(0, done, BATCH_DOCS):
+        order = random.permutation(len(labels))
+        for begin in range(0, len(labels), BATCH_DOCS):
             docs = order[begin : begin + BATCH_DOCS]
-            sizes = ends[docs + 1] - ends[docs]
-            at = np.repeat(ends[docs] - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())
-            if not len(at):
+            docs = docs[span[docs + 1] > span[docs]]
+            if not len(docs):
                 continue
-            local = np.repeat(np.arange(len(docs)), sizes)
-            used, inverse = np.unique(bucket[at], return_inverse=True)
-            dense = np.zeros((len(docs), DIMENSIONS))
-            vectors = table[bucket[at]] * share[at][:, None]
-            full = np.flatnonzero(sizes)
-            dense[full] = np.add.reduceat(vectors, (np.cumsum(sizes) - sizes)[full], axis=0)
-            chance = 1 / (1 + np.exp(-np.clip(dense @ head + bias, -30, 30)))
+            held = span[docs + 1] - span[docs]
+            own = _ranges(span[docs], held)
+            sizes = ends[own + 1] - ends[own]
+            at = _ranges(ends[own], sizes)
+            starts = np.cumsum(sizes) - sizes
+            dense = np.add.reduceat(table[bucket[at]] * share[at][:, None], starts, axis=0).astype(float)
+            worst = _worst(dense @ head, held)
+            chance = 1 / (1 + np.exp(-np.clip(dense[worst] @ head + bias, -30, 30)))
             error = (chance - labels[docs]) * weights[docs]
-            slope = np.bincount(inverse, share[at] * error[local])
+            at = at[_ranges(starts[worst], sizes[worst])]
+            used, inverse = np.unique(bucket[at], return_inverse=True)
+            slope = np.bincount(inverse, share[at] * np.repeat(error, sizes[worst]))
             norm = float(head @ head)
-            head_slope, bias_slope = dense.T @ error, error.sum()
+            head_slope, bias_slope = dense[worst].T @ error, error.sum()
             past[used] += slope**2 * norm
             table[used] -= ((rate * slope / np.sqrt(past[used]))[:, None] * head[None, :]).astype(np.float32)
             head_past += head_slope**2
@@ -124,13 +154,14 @@ def fit(texts: pa.Array, labels: np.ndarray, weights: np.ndarray, seed: int = 1)
     return (table @ head).astype(np.float32), float(bias)
 
 
-def word_scores(column: pa.Array, table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """What each word of each text adds to the text's average, and the n + 1 word offsets."""
-    inverse, firsts, buckets, owners = _distinct_words(column)
+def passage_scores(column: pa.Array, table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The mean of what each passage's words add, and the n + 1 passage offsets of the texts."""
+    inverse, firsts, buckets, owners, shares = _distinct_words(column)
+    bounds, spans = _passages(firsts)
     if not len(inverse):
-        return np.zeros(0), firsts
-    each = np.bincount(owners, table[buckets]) / np.bincount(owners)
-    return each[inverse], firsts
+        return np.zeros(0), spans
+    each = np.bincount(owners, table[buckets] * shares)[inverse]
+    return np.add.reduceat(each, bounds[:-1]) / np.diff(bounds), spans
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str) -> DataFrame:
@@ -182,15 +213,16 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
 
 def _chances(piece: pa.RecordBatch, table: np.ndarray, bias: float) -> np.ndarray:
-    each, firsts = word_scores(pc.utf8_lower(piece.column("text")), table)
-    sums = np.concatenate([[0.0], np.cumsum(each)])
-    mean = (sums[firsts[1:]] - sums[firsts[:-1]]) / np.maximum(np.diff(firsts), 1)
-    return 1 / (1 + np.exp(-np.clip(mean + bias, -50, 50)))
+    means, spans = passage_scores(pc.utf8_lower(piece.column("text")), table)
+    worst, full = np.zeros(piece.num_rows), np.flatnonzero(np.diff(spans))
+    if len(full):
+        worst[full] = np.maximum.reduceat(means, spans[full])
+    return 1 / (1 + np.exp(-np.clip(worst + bias, -50, 50)))
 
 
 def score_texts(docs: DataFrame, model: tuple[np.ndarray, float], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, score (0 to 1, higher: toxic likelier) and predicted (score of 0.5 or more) of every row. The average is
-    over the whole text. A null or empty text has the score of the bias alone. Equal texts score alike; nulls and
+    """doc_id, score (0 to 1, higher: toxic likelier) and predicted (score of 0.5 or more) of every row. All
+    passages of the whole text are read. A null or empty text has the score of the bias alone. Equal texts score alike; nulls and
     repeats in the id are kept. Only the two named columns are read."""
     table, bias = model
     shared = docs.sparkSession.sparkContext.broadcast(table)
