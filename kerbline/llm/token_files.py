@@ -3,7 +3,7 @@
 A segment is one bytes value, held in a row of a Parquet table: Spark commits those on any file system and repeats lost
 tasks, which raw files written by workers would not survive. Layout, little endian:
 
-    magic 8 bytes | n_docs, n_ids, n_blocks, n_exceptions u64 | doc ids i64 | doc lengths u64
+    magic 8 bytes | n_docs, n_ids, n_blocks, n_exceptions u64 | doc ids i64 | doc lengths u64 (highest bit: no id)
     | block starts u64 (word offsets, one more than blocks) | block minima u32 | exception starts u64 (one more) | widths u8
     | exception positions u16 | exception high parts u32 | packed words u64
 
@@ -33,7 +33,8 @@ PERCENTILE = 95
 SEGMENT_IDS = 1 << 18
 CACHED_PIECES = 500_000
 END_ID = 2
-_MAGIC = b"TOKPFOR1"
+_MAGIC = b"TOKPFOR2"
+_NO_ID = 1 << 63
 _BITS = np.arange(BLOCK, dtype=np.uint64)
 
 
@@ -60,7 +61,7 @@ def _unpack(packed: np.ndarray, width: int) -> np.ndarray:
     return (low | high) & np.uint64((1 << width) - 1)
 
 
-def encode_segment(doc_ids: list[int], lengths: list[int], ids: np.ndarray, percentile: float = PERCENTILE) -> bytes:
+def encode_segment(doc_ids: list[int | None], lengths: list[int], ids: np.ndarray, percentile: float = PERCENTILE) -> bytes:
     """One segment of whole documents."""
     n_blocks = -(-len(ids) // BLOCK)
     grid = np.zeros(n_blocks * BLOCK, np.uint64)
@@ -83,7 +84,8 @@ def encode_segment(doc_ids: list[int], lengths: list[int], ids: np.ndarray, perc
     exceptions = np.concatenate([[0], np.cumsum(np.bincount(block, minlength=n_blocks))])
     counts = np.array([len(doc_ids), len(ids), n_blocks, len(block)], np.uint64)
     parts = [
-        counts, np.array(doc_ids, np.int64), np.array(lengths, np.uint64), starts.astype(np.uint64), low.astype(np.uint32),
+        counts, np.array([doc or 0 for doc in doc_ids], np.int64),
+        np.array([n | _NO_ID if doc is None else n for doc, n in zip(doc_ids, lengths, strict=True)], np.uint64), starts.astype(np.uint64), low.astype(np.uint32),
         exceptions.astype(np.uint64), widths, position.astype(np.uint16), over[block, position].astype(np.uint32), words,
     ]
     return _MAGIC + b"".join(part.tobytes() for part in parts)
@@ -97,7 +99,9 @@ class Segment:
             raise ValueError("not a token segment")
         self._at, self._content = 8, content
         n_docs, self.n_ids, n_blocks, n_exceptions = (int(n) for n in self._take(np.uint64, 4))
-        self.doc_ids, self.lengths = self._take(np.int64, n_docs), self._take(np.uint64, n_docs).astype(np.int64)
+        self.doc_ids, lengths = self._take(np.int64, n_docs), self._take(np.uint64, n_docs)
+        self.without_id = lengths >= _NO_ID
+        self.lengths = (lengths & np.uint64(_NO_ID - 1)).astype(np.int64)
         self._starts, self._low = self._take(np.uint64, n_blocks + 1).astype(np.int64), self._take(np.uint32, n_blocks)
         self._exceptions, self._widths = self._take(np.uint64, n_blocks + 1).astype(np.int64), self._take(np.uint8, n_blocks)
         self._position, self._high = self._take(np.uint16, n_exceptions), self._take(np.uint32, n_exceptions)
@@ -213,14 +217,13 @@ def write_tokens(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_c
     """Encode every whole text, append end_id, and write segments in ascending id order.
 
     Returns the stored table: part, segment, offset (ids of the part before the segment), n_ids, content. Rows with the
-    same id follow one another by text hash; a null id counts as smallest and is kept as the smallest 64-bit number. A
-    null text is an empty one and has the end id alone. An empty table gives no segments. Only the two named columns
+    same id follow one another by text hash; a null id counts as smallest and stays null. A null text is an empty one and has the end id alone. An empty table gives no segments. Only the two named columns
     are read.
     """
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, part = _encoder(tokenizer), TaskContext.get().partitionId()
-        held: list[tuple[int, bytes]] = []
+        held: list[tuple[int | None, bytes]] = []
         offset = number = size = 0
         end = np.array([end_id], np.uint32).tobytes()
 
@@ -242,8 +245,7 @@ def write_tokens(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_c
             yield segment()
 
     schema = pa.schema([("part", pa.int64()), ("segment", pa.int64()), ("offset", pa.int64()), ("n_ids", pa.int64()), ("content", pa.binary())])
-    smallest = F.lit(-(2**63)).cast("long")
-    rows = docs.select(F.coalesce(docs[id_col].cast("long"), smallest).alias("doc_id"), docs[text_col].alias("text"))
+    rows = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text"))
     order = ["doc_id", F.xxhash64("text")]
     ordered = rows.repartitionByRange(*order).sortWithinPartitions(*order)
     return store(ordered.mapInArrow(encode, "part long, segment long, offset long, n_ids long, content binary"))
@@ -264,7 +266,7 @@ def read_tokens(segments: DataFrame) -> DataFrame:
                 begins = ends - segment.lengths
                 sums = [zlib.crc32(ids[4 * a : 4 * b]) for a, b in zip(begins.tolist(), ends.tolist(), strict=True)]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(segment.doc_ids), pa.array(start + begins), pa.array(segment.lengths), pa.array(sums, pa.int64())],
+                    [pa.array(segment.doc_ids, mask=segment.without_id), pa.array(start + begins), pa.array(segment.lengths), pa.array(sums, pa.int64())],
                     ["doc_id", "start", "n_tokens", "ids_crc32"],
                 )
 

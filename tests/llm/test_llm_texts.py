@@ -7,6 +7,7 @@ import time
 import zlib
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -129,6 +130,11 @@ def test_a_family_of_edited_copies_is_one_class(spark):
     assert all(got[i] == (0, 100) for i in range(100)) and got[100] == (100, 1)
 
 
+def test_null_ids_stay_null_in_token_files(odd):
+    got = token_files.read_tokens(token_files.write_tokens(odd, token_files.default_tokenizer())).orderBy("start").collect()
+    assert [r.doc_id for r in got] == [None, None, *sorted(r.doc_id for r in odd.collect() if r.doc_id is not None)]
+
+
 def test_long_texts_of_one_word_are_aligned_in_short_time():
     one = np.full(20_000, 7)
     other = one.copy()
