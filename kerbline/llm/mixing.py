@@ -4,10 +4,14 @@ The words of a source, document after document, are cut into blocks of a fixed n
 slots, each filled with one block. Slots are dealt to output shards at random, which makes the sources of a shard a
 multinomial draw whose totals over all shards are the targets. The slots of a source are numbered through over its
 shards; slot k takes block permutation(k mod blocks), so a block is used again only when every block has been used.
+Blocks are joined to slots by index: `mixed_blocks` returns the shards with their texts, `mix_sources` what each
+document gives to them, `mixed_documents` the same words as copies of documents.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -117,9 +121,14 @@ def mixed_slots(targets: DataFrame, block_words: int = BLOCK_WORDS, shard_slots:
     return slots.select("shard", "rank", "slot", block.alias("block"), takes.cast("long").alias("takes"))
 
 
-def document_blocks(docs: DataFrame, id_col: str, text_col: str, source_col: str, block_words: int, seed: int) -> tuple[DataFrame, DataFrame]:
-    """Documents with their place and target, and for each (document, block) how often its words are taken:
-    `full` times all of them, once more (`part`) the first words up to a slot's limit."""
+def document_uses(
+    docs: DataFrame, id_col: str, text_col: str, source_col: str, block_words: int, shard_slots: int, seed: int
+) -> tuple[DataFrame, DataFrame]:
+    """Documents with their place and target; and a row for each slot that takes words of a document.
+
+    A use has the slot's shard and place in it, and the words taken: `low` up to `until`, counted from the start of the
+    source. `copy` numbers the uses of a block, whole ones first.
+    """
     sizes = store(
         docs.select(
             docs[id_col].alias("doc_id"),
@@ -129,73 +138,135 @@ def document_blocks(docs: DataFrame, id_col: str, text_col: str, source_col: str
         )
     )
     targets = store(source_targets(sizes))
-    slots = mixed_slots(targets, block_words, seed=seed)
-    whole = F.col("takes") == block_words
     # Stored, since a plan takes exploded rows to be as few as those they were made from, and would broadcast them.
-    uses = store(
-        slots.groupBy("rank", "block").agg(
-            F.count(F.when(whole, 1)).alias("full"), F.coalesce(F.max(F.when(~whole, F.col("takes"))), F.lit(0)).alias("part")
-        )
-    )
+    slots = store(mixed_slots(targets, block_words, shard_slots, seed))
     known = targets.select(F.col("source").alias("s"), "rank", "source_size", "target")
     docs_placed = store(placed(sizes).join(known, F.col("source").eqNullSafe(F.col("s"))).drop("s"))
     covered = docs_placed.where("size > 0").select(
-        "doc_id", "digest", "rank", "start", "size", F.expr(f"sequence(start div {block_words}, (start + size - 1) div {block_words})").alias("covered")
+        "rank", "start", "size", F.expr(f"sequence(start div {block_words}, (start + size - 1) div {block_words})").alias("covered")
     )
-    pieces = covered.withColumn("block", F.explode("covered")).drop("covered").join(uses, ["rank", "block"])
+    in_shard = W.partitionBy("shard").orderBy(F.xxhash64(F.lit(seed), F.lit("place"), "rank", "slot"), "rank", "slot")
+    of_block = W.partitionBy("rank", "block").orderBy(F.col("takes").desc(), "slot")
+    dealt = slots.withColumn("place", F.row_number().over(in_shard)).withColumn("copy", F.row_number().over(of_block).cast("long"))
+    met = covered.withColumn("block", F.explode("covered")).drop("covered").join(dealt, ["rank", "block"])
     low = F.greatest(F.col("start"), F.col("block") * block_words)
-    high = F.least(F.col("start") + F.col("size"), (F.col("block") + 1) * block_words)
-    limit = F.least(high, F.col("block") * block_words + F.col("part"))
-    return docs_placed, pieces.select(
-        "doc_id", "digest", "rank", "start", "block", "full", low.alias("low"), high.alias("high"), F.greatest(limit, low).alias("limit")
-    )
+    until = F.least(F.col("start") + F.col("size"), F.col("block") * block_words + F.col("takes"))
+    return docs_placed, met.select(
+        "rank", "start", "shard", "place", "slot", "block", "copy", low.alias("low"), until.alias("until")
+    ).where("low < until")
 
 
 def mix_sources(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", block_words: int = BLOCK_WORDS, seed: int = 0
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    source_col: str = "source",
+    block_words: int = BLOCK_WORDS,
+    shard_slots: int = SHARD_SLOTS,
+    seed: int = 0,
 ) -> DataFrame:
-    """How many words of each document the mix takes, repeats counted.
+    """How many words of each document the mix takes, repeats counted, and how many shards they go to.
 
-    One row per input row: doc_id, size, source_size, target (both of the source), taken. A null or empty text has size
-    0 and nothing is taken of it. A null source is a source of its own. Repeated ids and repeated rows are separate
-    documents. An empty table gives an empty result. Only the three named columns are read, others may have any name.
+    One row per input row: doc_id, size, source_size, target (both of the source), taken, shards. A null or empty text
+    has size 0 and nothing is taken of it. A null source is a source of its own. Repeated ids and repeated rows are
+    separate documents. An empty table gives an empty result. Only the three named columns are read, others may have
+    any name.
     """
-    docs_placed, pieces = document_blocks(docs, id_col, text_col, source_col, block_words, seed)
-    words = F.col("full") * (F.col("high") - F.col("low")) + F.col("limit") - F.col("low")
-    taken = pieces.groupBy("rank", "start").agg(F.sum(words).alias("words"))
+    docs_placed, uses = document_uses(docs, id_col, text_col, source_col, block_words, shard_slots, seed)
+    by_shard = uses.groupBy("rank", "start", "shard").agg(F.sum(F.col("until") - F.col("low")).alias("words"))
+    taken = by_shard.groupBy("rank", "start").agg(F.sum("words").alias("taken"), F.count(F.lit(1)).alias("shards"))
     live = docs_placed.where("size > 0").join(taken, ["rank", "start"], "left")
-    empty = docs_placed.where("size = 0").withColumn("words", F.lit(0).cast("long"))
-    columns = ["doc_id", "size", "source_size", "target", F.coalesce("words", F.lit(0).cast("long")).alias("taken")]
+    none = F.lit(0).cast("long")
+    empty = docs_placed.where("size = 0").withColumn("taken", none).withColumn("shards", none)
+    columns = ["doc_id", "size", "source_size", "target", *(F.coalesce(c, none).alias(c) for c in ("taken", "shards"))]
     return live.select(*columns).union(empty.select(*columns))
 
 
-def mixed_documents(docs: DataFrame, block_words: int = BLOCK_WORDS, seed: int = 0) -> DataFrame:
-    """The mixed corpus as documents: up to three copies of a document, each of its words in the blocks that the mix
-    uses that often. A copy that is used whole keeps its text; a partial one is its words joined by spaces.
+def _with_rows(docs: DataFrame, id_col: str, text_col: str, source_col: str, docs_placed: DataFrame, found: DataFrame) -> DataFrame:
+    """`found`, keyed by rank and start, beside its documents: the whole input row as one struct, so no name can clash.
 
-    Input and output have the columns of documents; n_chars is that of the new text. Documents without words are never
-    taken. Rows are matched by id, source, text hash and number among equals, so repeated rows stay apart.
+    Rows meet by id, source, text hash and number among equals, which follows from the other columns; so repeated rows
+    stay apart.
     """
-    docs_placed, pieces = document_blocks(docs, "doc_id", "text", "source", block_words, seed)
-    times = F.col("full") + (F.col("limit") > F.col("low")).cast("long")
-    spans = pieces.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.greatest(times, F.lit(1).cast("long"))))).where(times > 0)
-    until = F.when(F.col("copy") <= F.col("full"), F.col("high")).otherwise(F.col("limit"))
-    span = F.struct((F.col("low") - F.col("start")).alias("from"), (until - F.col("low")).alias("words"))
-    copies = spans.groupBy("rank", "start", "copy").agg(F.sort_array(F.collect_list(span)).alias("spans"))
     same = ["doc_id", "source", "digest"]
     equals = W.partitionBy(*same)
     plan = (
         docs_placed.where("size > 0")
         .withColumn("nth", F.row_number().over(equals.orderBy("start")))
-        .join(copies, ["rank", "start"])
-        .select(*[F.col(name).alias(f"_{name}") for name in same], F.col("nth").alias("_nth"), "size", "copy", "spans")
+        .join(found, ["rank", "start"])
+        .withColumnsRenamed({name: f"_{name}" for name in [*same, "nth"]})
     )
-    texts = docs.withColumn("digest", F.xxhash64("text")).withColumn("nth", F.row_number().over(equals.orderBy("lang", "n_chars")))
-    met = texts.join(plan, [*[F.col(n).eqNullSafe(F.col(f"_{n}")) for n in same], F.col("nth") == F.col("_nth")])
-    kept = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["words"])
-    tokens = F.regexp_extract_all("text", F.lit(f"({WORD})"))
-    some = F.array_join(F.flatten(F.transform("spans", lambda s: F.slice(tokens, (s["from"] + 1).cast("int"), s["words"].cast("int")))), " ")
-    text = F.when(kept == F.col("size"), F.col("text")).otherwise(some)
-    return met.select("doc_id", text.alias("text"), "lang", "source").select(
-        "doc_id", "text", "lang", "source", F.length("text").cast("long").alias("n_chars")
+    columns = {name: docs[f"`{name}`"] for name in docs.columns}
+    others = F.to_json(F.struct(*[column.alias(name) for name, column in columns.items() if name != text_col]))
+    rows = docs.select(
+        F.struct(*columns.values()).alias("row"),
+        columns[id_col].alias("doc_id"),
+        columns[source_col].alias("source"),
+        F.xxhash64(columns[text_col]).alias("digest"),
+        others.alias("others"),
+    ).withColumn("nth", F.row_number().over(equals.orderBy("others")))
+    matches = [*[F.col(name).eqNullSafe(F.col(f"_{name}")) for name in same], F.col("nth") == F.col("_nth")]
+    return rows.drop("others").join(plan, matches)
+
+
+def _words_of(text: Column, spans: Column, each: Callable[[Column, Column], Column]) -> Column:
+    """`each` of the words taken and the span, for every span; the text is cut into words once."""
+    tokens = F.array(F.regexp_extract_all(text, F.lit(f"({WORD})")))
+
+    def cut(words: Column) -> Column:
+        return F.transform(spans, lambda s: each(F.slice(words, (s["from"] + 1).cast("int"), s["words"].cast("int")), s))
+
+    return F.transform(tokens, cut)[0]
+
+
+def mixed_blocks(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    source_col: str = "source",
+    block_words: int = BLOCK_WORDS,
+    shard_slots: int = SHARD_SLOTS,
+    seed: int = 0,
+) -> DataFrame:
+    """The mix itself: one row per slot of every output shard.
+
+    shard, place (from 1, in an order drawn per shard), source, block, words (long) and text, the block's words joined
+    by spaces. How many slots of a shard a source gets is drawn; over all shards a source has the slots its target asks
+    for. Null and empty texts give no words. An empty table gives an empty result.
+    """
+    docs_placed, uses = document_uses(docs, id_col, text_col, source_col, block_words, shard_slots, seed)
+    span = F.struct("shard", "place", "block", (F.col("low") - F.col("start")).alias("from"), (F.col("until") - F.col("low")).alias("words"))
+    found = uses.groupBy("rank", "start").agg(F.collect_list(span).alias("spans"))
+    met = _with_rows(docs, id_col, text_col, source_col, docs_placed, found)
+
+    def piece(words: Column, s: Column) -> Column:
+        return F.struct(s["shard"].alias("shard"), s["place"].alias("place"), s["block"].alias("block"), s["words"].alias("words"), F.array_join(words, " ").alias("text"))
+
+    pieces = met.select("source", "start", F.explode(_words_of(F.col("row")[text_col], F.col("spans"), piece)).alias("piece"))
+    parts = F.sort_array(F.collect_list(F.struct("start", "piece.text")))
+    return (
+        pieces.groupBy("piece.shard", "piece.place", "source", "piece.block")
+        .agg(F.sum("piece.words").alias("words"), parts.alias("parts"))
+        .select("shard", "place", "source", "block", "words", F.array_join(F.col("parts.text"), " ").alias("text"))
     )
+
+
+def mixed_documents(docs: DataFrame, block_words: int = BLOCK_WORDS, shard_slots: int = SHARD_SLOTS, seed: int = 0) -> DataFrame:
+    """The mixed corpus as documents: up to three copies of a document, each of its words in the blocks that the mix
+    uses that often. A copy that is used whole keeps its text; a partial one is its words joined by spaces.
+
+    Input and output have the same columns, of any names beside doc_id, text and source; n_chars, where there is one, is
+    that of the new text. Documents without words are never taken. Repeated rows stay apart.
+    """
+    docs_placed, uses = document_uses(docs, "doc_id", "text", "source", block_words, shard_slots, seed)
+    span = F.struct((F.col("low") - F.col("start")).alias("from"), (F.col("until") - F.col("low")).alias("words"))
+    copies = uses.groupBy("rank", "start", "copy").agg(F.sort_array(F.collect_list(span)).alias("spans"))
+    met = _with_rows(docs, "doc_id", "text", "source", docs_placed, copies)
+    kept = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["words"])
+    whole = F.col("row")["text"]
+    some = F.array_join(F.flatten(_words_of(whole, F.col("spans"), lambda words, s: words)), " ")
+    cut = met.select("row", F.when(kept == F.col("size"), whole).otherwise(some).alias("text"))
+    changed = {"text": F.col("text")}
+    if "n_chars" in docs.columns:
+        changed["n_chars"] = F.length("text").cast(docs.schema["n_chars"].dataType)
+    return cut.select(*[changed.get(name, F.col("row").getField(name)).alias(name) for name in docs.columns])
