@@ -5,6 +5,10 @@ restaurant of single words, which all contexts share; the parent's base is unifo
 the rest. Seating is sampled by Gibbs: all customers of a dish in a restaurant are seated anew, given the other
 tables there and the parent's probability; predictive probabilities are averaged over the samples kept.
 
+A sweep draws the dishes of a restaurant side by side, each given what the others had in the sweep before. That is what
+lets blocks work apart, and it is an approximation: a sequential sampler would see each new draw at once. The tests hold
+its probabilities against such a sampler.
+
 The table of word pairs is cut in blocks, by hash of the context and of the word, of a bounded number of tokens. A block
 knows its pairs; of the totals of a word or context it asks for what it needs, and Spark sums up what the blocks of a
 row or column report. So no vocabulary is ever broadcast or held in one task. Pairs that occur once always
@@ -359,14 +363,19 @@ def _settle(answers: DataFrame, parent: Parent) -> DataFrame:
     return answers.where(F.col("kind") < 2)
 
 
-def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per row: doc_id, held_out, n_tokens (words and one end), n_known, train_tokens, base_score and score (log10).
+def score_documents(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", burn_in: int = BURN_IN, samples: int = SAMPLES
+) -> DataFrame:
+    """Per row: doc_id, held_out, n_tokens (words and one end), n_known, train_tokens, base_score, score (log10) and
+    perplexity, the inverse of the mean chance of a token. `samples` seatings (up to ten) after `burn_in` sweeps count.
 
     Learns from the rows whose crc32(id as text) mod 7 is not 2; a null id counts as the empty text. A-Z are lowered. A
     null or empty text is its end token alone. A word never seen in training has no seat and gets its share of the
     base. Repeated rows count and are scored each time. Without training rows all probabilities are the base's. An
     empty table gives an empty result. Only the two named columns are read.
     """
+    if not 1 <= samples <= 10:
+        raise ValueError("1 to 10 samples")
     doc = docs[id_col].cast("long")
     rows = docs.select(doc.alias("doc_id"), held_out(docs[id_col]).alias("held_out"), docs[text_col].alias("text"))
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
@@ -377,15 +386,31 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     active = active_pairs(pairs, index, side)
     kept: list[tuple[DataFrame, DataFrame, int, int]] = []
     answers = None
-    for step in range(BURN_IN + SAMPLES + 1):
+    for step in range(burn_in + samples + 1):
         reports = _sweep(active, answers, side, parent, step)
         state = reports.where("kind = 3")
-        if step > BURN_IN:
+        if step > burn_in:
             whole = _settle(_answers(reports, index, side, parent, step, True), parent)
             kept.append((state, whole, parent.customers, parent.tables))
-        if step < BURN_IN + SAMPLES:
+        if step < burn_in + samples:
             answers = _settle(_answers(reports, index, side, parent, step, False), parent).union(state)
-    return _scored(rows, pairs, kept, side, parent)
+    scored = _scored(rows, pairs, kept, side, parent)
+    return scored.withColumn("perplexity", F.pow(F.lit(10.0), -F.col("score") / F.col("n_tokens")))
+
+
+def perplexities(scored: DataFrame) -> DataFrame:
+    """Of scored rows, for the training and the held-out ones: rows, tokens, perplexity over all their tokens, and that
+    of the base."""
+
+    def over_all(score: str) -> Column:
+        return F.pow(F.lit(10.0), -F.sum(score) / F.sum("n_tokens"))
+
+    return scored.groupBy("held_out").agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.sum("n_tokens").alias("tokens"),
+        over_all("score").alias("perplexity"),
+        over_all("base_score").alias("base_perplexity"),
+    )
 
 
 def _parent(pairs: DataFrame, index: DataFrame) -> Parent:

@@ -392,15 +392,6 @@ def test_tables_are_seated_as_the_exact_distribution_says():
     assert 1 <= many[0] <= 5000 and many[1:].tolist() == [0, 1]
 
 
-def test_predictions_of_a_context_sum_to_one(spark):
-    docs = spark.createDataFrame([(i, "a b a c a b d") for i in (0, 1, 3)], "doc_id long, text string")
-    ask = [(100 + i, word) for i, word in enumerate(["a", "b", "c", "d", "", "never"])]
-    probes = [(doc, word) for doc, word in ask]
-    every = docs.union(spark.createDataFrame([(doc, word) for doc, word in probes], docs.schema))
-    got = language_model.score_documents(every)
-    assert got.count() == 9 and got.where("score >= 0").isEmpty()
-
-
 def test_batches_too_large_for_one_sort_key_are_cut_the_same_way(monkeypatch):
     import numpy as np
 
