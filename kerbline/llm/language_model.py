@@ -36,6 +36,10 @@ EXACT = 100
 BLOCK_BYTES = 28 << 20
 #: Texts are turned into pairs in batches of about so many bytes.
 BATCH_BYTES = 12 << 20
+#: Texts' pairs of a block with more tokens than this go to several tasks, each with a copy of the block.
+PART_TOKENS = BLOCK_BYTES // 4
+#: Counts of a block from so many pairs, and as many as it has distinct ones, are added up before more are read.
+MERGE_PAIRS = 8 << 20
 _END = np.uint64(0x5EED0E4D5EED0E4D)
 _ROW = "i int, j int, kind int, src int, blob binary"
 _SCHEMA = pa.schema([("i", pa.int32()), ("j", pa.int32()), ("kind", pa.int32()), ("src", pa.int32()), ("blob", pa.binary())])
@@ -134,9 +138,19 @@ def _in_blocks(context: np.ndarray, word: np.ndarray, row: np.ndarray, rows: int
         yield int(b // side), int(b % side), names[own_u], names[own_w], u_at, w_at, text[part], uses[part]
 
 
+def _summed(held: list[tuple]) -> tuple[np.ndarray, ...]:
+    """Sorted contexts, sorted words, and each distinct pair's places in these and its count."""
+    context, word, uses = (np.concatenate([one[k] for one in held]) for k in range(3))
+    names, u = np.unique(context, return_inverse=True)
+    words, w = np.unique(word, return_inverse=True)
+    pair, at = np.unique(u * len(words) + w, return_inverse=True)
+    return names, words, pair // len(words), pair % len(words), np.bincount(at, uses).astype(np.int64)
+
+
 def count_pairs(docs: DataFrame, side: int) -> DataFrame:
     """Blocks of pairs: sorted contexts, sorted words, and per distinct pair of any text its context, its word and its
     count in the training texts."""
+    merge_pairs = MERGE_PAIRS
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for meta, context, word, row in _batches(batches):
@@ -147,15 +161,16 @@ def count_pairs(docs: DataFrame, side: int) -> DataFrame:
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for (i, j), rows in rows_by_key(batches, ["i", "j"]):
             held: list[tuple] = []
+            waiting, limit = 0, merge_pairs
             for row in rows:
                 names, words, u, w, uses = unpack(row["blob"])
                 held.append((np.cumsum(names, dtype=np.uint64)[np.cumsum(u)], np.cumsum(words, dtype=np.uint64)[w], uses))
-            context, word, uses = (np.concatenate([one[k] for one in held]) for k in range(3))
-            names, u = np.unique(context, return_inverse=True)
-            words, w = np.unique(word, return_inverse=True)
-            pair, at = np.unique(u * len(words) + w, return_inverse=True)
-            count = np.bincount(at, uses).astype(np.int64)
-            yield _rows([(i, j, 0, 0, pack(sorted_pack(names), sorted_pack(words), np.diff(pair // len(words), prepend=0), pair % len(words), count))])
+                waiting += len(uses)
+                if waiting > limit:
+                    names, words, u, w, count = _summed(held)
+                    held, waiting, limit = [(names[u], words[w], count)], 0, merge_pairs + len(count)
+            names, words, u, w, count = _summed(held)
+            yield _rows([(i, j, 0, 0, pack(sorted_pack(names), sorted_pack(words), np.diff(u, prepend=0), w, count))])
 
     parts = docs.mapInArrow(split, _ROW)
     return store(_dealt(parts, side).mapInArrow(merge, _ROW))
@@ -449,11 +464,11 @@ def _scored(rows: DataFrame, pairs: DataFrame, kept: list[tuple[DataFrame, DataF
             for i, j, names, words, u, w, texts, uses in _in_blocks(context, word, row, meta.num_rows, None, side):
                 order = np.argsort(texts, kind="stable")
                 blob = pack(np.array([part, number]), sorted_pack(names), sorted_pack(words), np.diff(texts[order], prepend=0), u[order], w[order], uses[order])
-                yield _rows([(i, j, 100, number, blob)])
+                yield _rows([(i, j, 100, part + 7919 * number & 0x7FFFFFFF, blob)])
             number += 1
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for (i, j), group in rows_by_key(batches, ["i", "j"]):
+        for (i, j, _), group in rows_by_key(batches, ["i", "j", "salt"]):
             blobs: dict[int, bytes] = {}
             model = None
             for row in group:
@@ -499,14 +514,31 @@ def _scored(rows: DataFrame, pairs: DataFrame, kept: list[tuple[DataFrame, DataF
     for k, (state, whole, *_) in enumerate(kept):
         joined = joined.union(state.withColumn("kind", F.lit(10 + k)))
         joined = joined.union(whole.withColumn("kind", (F.col("kind") * 10 + 20 + k).cast("int")))
-    everything = joined.union(rows.mapInArrow(split, _ROW))
-    parts = _dealt(everything, side).mapInArrow(score, _ROW)
+    hot = _hot_blocks(pairs)
+    parts_of = F.coalesce("parts", F.lit(1))
+    blocks = joined.join(hot, ["i", "j"], "left").withColumn("salt", F.explode(F.sequence(F.lit(0), parts_of - 1)))
+    asked = rows.mapInArrow(split, _ROW).join(hot, ["i", "j"], "left").withColumn("salt", F.pmod(F.hash("src"), parts_of))
+    everything = blocks.union(asked).drop("parts")
+    dealt = everything.repartition(side * side, "i", "j", "salt").sortWithinPartitions("i", "j", "salt", "kind", "src")
+    parts = dealt.mapInArrow(score, _ROW)
     tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     dealt = parts.repartition(tasks, "i", "j").sortWithinPartitions("i", "j", "kind")
     kinds = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
     return dealt.mapInArrow(total, kinds)
 
 
+def _hot_blocks(pairs: DataFrame) -> DataFrame:
+    """Blocks with more than PART_TOKENS training tokens, and in how many parts the texts' pairs are to be scored."""
+    most = PART_TOKENS
+
+    def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            needed = [-(-int(unpack(blob)[4].sum()) // most) for blob in batch.column("blob").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("i"), batch.column("j"), pa.array(needed, pa.int32())], ["i", "j", "parts"])
+
+    return store(pairs.select("i", "j", "blob").mapInArrow(parts, "i int, j int, parts int").where("parts > 1"))
+
+
 def _model(blobs: dict[int, bytes], sums: list[tuple[int, int]], parent: Parent) -> tuple[np.ndarray, ...]:
     """Of a block: its contexts and words, the keys of its pairs, each word's base score and whether it is known, and
     each pair's log10 probability averaged over the samples."""

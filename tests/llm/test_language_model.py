@@ -154,3 +154,15 @@ def test_perplexity(spark, small, none):
     assert language_model.perplexities(language_model.score_documents(none)).count() == 0
     with pytest.raises(ValueError):
         language_model.score_documents(small, samples=11)
+
+
+def test_hot_blocks_in_parts_give_the_same(small, monkeypatch):
+    whole = {r.doc_id: r for r in language_model.score_documents(small).collect()}
+    monkeypatch.setattr(language_model, "PART_TOKENS", 3_000)
+    monkeypatch.setattr(language_model, "MERGE_PAIRS", 2_000)
+    rows = small.select("doc_id", "text", language_model.held_out(small["doc_id"]).alias("held_out"))
+    parts = [r.parts for r in language_model._hot_blocks(language_model.count_pairs(rows, 2)).collect()]
+    assert len(parts) == 4 and min(parts) > 1
+    for row in language_model.score_documents(small.repartition(6)).collect():
+        assert (row.n_tokens, row.n_known, row.train_tokens) == (whole[row.doc_id].n_tokens, whole[row.doc_id].n_known, whole[row.doc_id].train_tokens)
+        assert row.score == pytest.approx(whole[row.doc_id].score) and row.base_score == pytest.approx(whole[row.doc_id].base_score)
