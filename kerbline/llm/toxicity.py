@@ -39,14 +39,14 @@ def held_out(doc_id: Column, modulus: int = HELD_OUT_OF) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit(""))) % modulus == 0
 
 
-def _distinct_words(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def _distinct_words(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Of a slice of texts: the number of each word among the distinct ones, the n + 1 word offsets, and for the rows of
-    the distinct words their buckets, the distinct word they belong to and their shares of it."""
+    the distinct words their buckets, the distinct word they belong to and their shares of it; and the distinct words' hashes."""
     data, offsets = text_bytes(column)
     starts, ends, firsts = words(data, offsets)
     prefix = prefix_hash(data)
     hashes = range_hash(prefix, starts, ends)
-    _, first, inverse = np.unique(hashes, return_index=True, return_inverse=True)
+    distinct, first, inverse = np.unique(hashes, return_index=True, return_inverse=True)
     begin, end = starts[first], ends[first]
     buckets, owners = [hashes[first] & np.uint64(BUCKETS - 1)], [np.arange(len(first))]
     for size in GRAMS:
@@ -60,7 +60,7 @@ def _distinct_words(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarra
     grams = np.bincount(owner, minlength=len(first)) - 1
     own = np.arange(len(owner)) < len(first)
     share = np.where(own, np.where(grams[owner] > 0, OWN, 1.0), (1 - OWN) / np.maximum(grams[owner], 1))
-    return inverse, firsts, np.concatenate(buckets).astype(np.int64), owner, share
+    return inverse, firsts, np.concatenate(buckets).astype(np.int64), owner, share, distinct
 
 
 def _passages(firsts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -72,23 +72,43 @@ def _passages(firsts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.append(firsts[text] + nth * PASSAGE, firsts[-1]), np.concatenate([[0], np.cumsum(many)])
 
 
-def _features(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Passages of a slice as sparse rows: row, bucket and share of the bucket in the passage's average; and the n + 1
-    passage offsets of the texts."""
-    inverse, firsts, buckets, owners, shares = _distinct_words(column)
-    bounds, spans = _passages(firsts)
-    if not len(inverse):
-        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.float32), spans
-    order = np.argsort(owners, kind="stable")
-    rows_of = np.bincount(owners)
-    ends = np.cumsum(rows_of)
-    counts = np.diff(bounds)
-    passage = np.repeat(np.arange(len(counts)), counts)
-    rows = rows_of[inverse]
-    at = order[np.repeat(ends[inverse] - rows, rows) + np.arange(rows.sum()) - np.repeat(np.cumsum(rows) - rows, rows)]
-    key, where = np.unique(np.repeat(passage, rows) * BUCKETS + buckets[at], return_inverse=True)
-    share = np.bincount(where, shares[at] / np.repeat(counts[passage], rows))
-    return key // BUCKETS, key % BUCKETS, share.astype(np.float32), spans
+class _Words:
+    """The words of all training texts: each distinct word's rows once, and the texts as numbers of words. What a passage
+    adds up is looked up in them when it is trained on, so memory grows with words, not with the n-grams of all texts."""
+
+    def __init__(self, texts: pa.Array) -> None:
+        known, numbers = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        of, bounds, spans, buckets, shares, rows = [], [], [np.zeros(1, np.int64)], [], [], []
+        count = passages = 0
+        for piece in slices(pa.RecordBatch.from_arrays([texts], ["text"]), "text"):
+            inverse, firsts, bucket, owner, share, distinct = _distinct_words(pc.utf8_lower(piece.column("text")))
+            place = np.searchsorted(known, distinct)
+            new = np.ones(len(distinct), bool)
+            new[place < len(known)] = known[place[place < len(known)]] != distinct[place < len(known)]
+            number = np.zeros(len(distinct), np.int64)
+            number[~new] = numbers[place[~new]]
+            number[new] = len(known) + np.arange(np.count_nonzero(new))
+            known, numbers = np.insert(known, place[new], distinct[new]), np.insert(numbers, place[new], number[new])
+            order = np.argsort(owner, kind="stable")
+            order = order[new[owner[order]]]
+            buckets.append(bucket[order].astype(np.int32))
+            shares.append(share[order].astype(np.float32))
+            rows.append(np.bincount(owner, minlength=len(distinct))[new])
+            of.append(number[inverse].astype(np.int32))
+            begins, span = _passages(firsts)
+            bounds.append(begins[:-1] + count)
+            spans.append(span[1:] + passages)
+            count, passages = count + len(inverse), passages + int(span[-1])
+        #: Number of each word of the texts; word offsets of the passages; passage offsets of the texts.
+        self.of, self.bounds, self.spans = np.concatenate([np.zeros(0, np.int32), *of]), np.concatenate([*bounds, [count]]), np.concatenate(spans)
+        #: Row offsets of the distinct words, and the rows' buckets and shares.
+        self.ends = np.cumsum(np.concatenate([[0], *rows])).astype(np.int64)
+        self.buckets, self.shares = np.concatenate([np.zeros(0, np.int32), *buckets]), np.concatenate([np.zeros(0, np.float32), *shares])
+
+    def rows(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places of the rows of some words, one word after another, and how many each has."""
+        sizes = self.ends[numbers + 1] - self.ends[numbers]
+        return _ranges(self.ends[numbers], sizes), sizes
 
 
 def _ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -107,18 +127,8 @@ def _worst(chances: np.ndarray, sizes: np.ndarray) -> np.ndarray:
 def fit(texts: pa.Array, labels: np.ndarray, weights: np.ndarray, seed: int = 1) -> tuple[np.ndarray, float]:
     """Train embeddings and softmax by Adagrad; return the two classes' difference that each bucket contributes, and the
     bias. (With two classes the gradient of an embedding is a multiple of the difference of the softmax's columns.)"""
-    rows, cols, shares, spans = [], [], [], [np.zeros(1, np.int64)]
-    batch = pa.RecordBatch.from_arrays([texts], ["text"])
-    passages = 0
-    for piece in slices(batch, "text"):
-        row, bucket, share, span = _features(pc.utf8_lower(piece.column("text")))
-        rows.append(row + passages)
-        cols.append(bucket.astype(np.int32))
-        shares.append(share)
-        spans.append(span[1:] + passages)
-        passages += int(span[-1])
-    row, bucket, share, span = np.concatenate(rows), np.concatenate(cols), np.concatenate(shares), np.concatenate(spans)
-    ends = np.searchsorted(row, np.arange(passages + 1))
+    known = _Words(texts)
+    span = known.spans
     random = np.random.default_rng(seed)
     table = np.zeros((BUCKETS, DIMENSIONS), np.float32)
     head, bias = random.normal(0, 0.1, DIMENSIONS), 0.0
@@ -133,18 +143,24 @@ def fit(texts: pa.Array, labels: np.ndarray, weights: np.ndarray, seed: int = 1)
                 continue
             held = span[docs + 1] - span[docs]
             own = _ranges(span[docs], held)
-            sizes = ends[own + 1] - ends[own]
-            at = _ranges(ends[own], sizes)
-            starts = np.cumsum(sizes) - sizes
-            dense = np.add.reduceat(table[bucket[at]] * share[at][:, None], starts, axis=0).astype(float)
-            worst = _worst(dense @ head, held)
-            chance = 1 / (1 + np.exp(-np.clip(dense[worst] @ head + bias, -30, 30)))
+            counts = known.bounds[own + 1] - known.bounds[own]
+            word, of = np.unique(known.of[_ranges(known.bounds[own], counts)], return_inverse=True)
+            # Which passage is worst needs one number a word; vectors are added up for the worst passages alone.
+            at, sizes = known.rows(word)
+            each = np.add.reduceat((table @ head.astype(np.float32))[known.buckets[at]] * known.shares[at], np.cumsum(sizes) - sizes)
+            starts = np.cumsum(counts) - counts
+            worst = _worst(np.add.reduceat(each.astype(float)[of], starts) / counts, held)
+            count = counts[worst]
+            at, sizes = known.rows(word[of[_ranges(starts[worst], count)]])
+            share = known.shares[at] / np.repeat(np.repeat(count, count), sizes)
+            rows = np.add.reduceat(sizes, np.cumsum(count) - count)
+            dense = np.add.reduceat(table[known.buckets[at]] * share[:, None], np.cumsum(rows) - rows, axis=0)
+            chance = 1 / (1 + np.exp(-np.clip(dense @ head + bias, -30, 30)))
             error = (chance - labels[docs]) * weights[docs]
-            at = at[_ranges(starts[worst], sizes[worst])]
-            used, inverse = np.unique(bucket[at], return_inverse=True)
-            slope = np.bincount(inverse, share[at] * np.repeat(error, sizes[worst]))
+            used, inverse = np.unique(known.buckets[at], return_inverse=True)
+            slope = np.bincount(inverse, share * np.repeat(error, rows))
             norm = float(head @ head)
-            head_slope, bias_slope = dense[worst].T @ error, error.sum()
+            head_slope, bias_slope = dense.T @ error, error.sum()
             past[used] += slope**2 * norm
             table[used] -= ((rate * slope / np.sqrt(past[used]))[:, None] * head[None, :]).astype(np.float32)
             head_past += head_slope**2
@@ -156,7 +172,7 @@ def fit(texts: pa.Array, labels: np.ndarray, weights: np.ndarray, seed: int = 1)
 
 def passage_scores(column: pa.Array, table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The mean of what each passage's words add, and the n + 1 passage offsets of the texts."""
-    inverse, firsts, buckets, owners, shares = _distinct_words(column)
+    inverse, firsts, buckets, owners, shares, _ = _distinct_words(column)
     bounds, spans = _passages(firsts)
     if not len(inverse):
         return np.zeros(0), spans

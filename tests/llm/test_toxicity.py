@@ -77,3 +77,18 @@ def test_held_out_texts_of_the_supplied_labels(spark):
     toxic, clean = [r.predicted for r in held if r.toxic], [r.predicted for r in held if not r.toxic]
     print("recall", np.mean(toxic), "false alarms", np.mean(clean))
     assert np.mean(toxic) >= 0.8 and np.mean(clean) <= 0.02
+
+
+def test_words_of_several_slices_are_held_once(monkeypatch):
+    """Texts cut into slices of a row each give the same passages and rows as one slice."""
+    texts = pa.array(["one two three", "", "two three four two", "five", "one"])
+    whole = toxicity._Words(texts)
+    monkeypatch.setattr(toxicity, "slices", lambda batch, column: (batch.slice(row, 1) for row in range(batch.num_rows)))
+    cut = toxicity._Words(texts)
+    assert cut.bounds.tolist() == whole.bounds.tolist() == [0, 2, 3, 5, 7, 8, 9]
+    assert cut.spans.tolist() == whole.spans.tolist() == [0, 2, 2, 4, 5, 6]
+    assert len(cut.ends) == len(whole.ends) == 6
+    for mine, other in zip(cut.of, whole.of, strict=True):
+        rows = [known.rows(np.array([number]))[0] for known, number in ((cut, mine), (whole, other))]
+        assert cut.buckets[rows[0]].tolist() == whole.buckets[rows[1]].tolist()
+        assert cut.shares[rows[0]].tolist() == whole.shares[rows[1]].tolist()
