@@ -1,12 +1,13 @@
 """Benchmark decontamination by latent semantic retrieval.
 
 Texts are cut into passages of PASSAGE words, STRIDE apart. Terms are the words of the benchmark items (lower case, without
-ASCII punctuation). A window, a passage with half an item's words on both sides, that has `least` of n words has at least k
-of any n - least + k of them: those rarest in the corpus are looked up, and passages whose window has fewer are out of the
-question. All others are the rows of a TF-IDF matrix, together with the items' own passages. Its randomised SVD (a range
-finder and Gram products, summed over tasks) gives the latent space in which passages and items meet. A passage at least
-MIN_COSINE like one of an item is a candidate: the longest common subsequence of the item's words and those of the window
-decides, and below LEAST_SHARE, for a paraphrase, whether the item's answer (its last sentence) is there as well.
+ASCII punctuation). All passages of the corpus and the items' own are the rows of a TF-IDF matrix; those without a weighted
+term are rows of zeros. Its randomised SVD (a range finder and Gram products, summed over tasks) gives the latent space in
+which passages and items meet. Every passage is held against every passage of an item: one at least MIN_COSINE like it is a
+candidate. Candidates are then checked exactly. A window, a passage with half an item's words on both sides, that has `least`
+of n words has at least k of any n - least + k of them: it is counted whether it has enough of the item's rarest words. Where
+it has, the longest common subsequence of the item's words and those of the window decides, and below LEAST_SHARE, for a
+paraphrase, whether the item's answer (its last sentence) is there as well.
 """
 
 from __future__ import annotations
@@ -21,6 +22,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, StructField, StructType
 
 from kerbline.llm.hashing import slices, text_bytes, word_hashes
 from kerbline.llm.stage import store
@@ -47,6 +49,11 @@ MIN_COSINE = 0.12
 BLOCK_BYTES = 1 << 22
 CHUNK_TERMS = 256
 SLICE_BYTES = 1 << 19
+#: Words of stored texts that are handled at once, and cosines.
+SLICE_WORDS = 1 << 17
+TILE = 1 << 21
+#: Ranges of more rows than these are added up one by one.
+WIDE = 64
 
 
 def _plain_words(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -95,28 +102,55 @@ def _pieces(batches: Iterator[pa.RecordBatch], text: str = "text") -> Iterator[p
         yield from slices(batch, text, SLICE_BYTES)
 
 
-def passage_counts(rows: DataFrame, items: Items) -> tuple[np.ndarray, int]:
-    """In how many passages of the corpus each term is, and the number of passages."""
+def numbered(rows: DataFrame, items: Items, text: str = "text") -> DataFrame:
+    """The rows with `terms`: the term number of each word of the text (_term_numbers) as 32-bit integers."""
     shared = rows.sparkSession.sparkContext.broadcast(items.terms)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        terms = shared.value
-        found, total = np.zeros(len(terms) + 1, np.int64), 0
-        for piece in _pieces(batches):
-            numbers, ends = _term_numbers(piece.column("text"), terms)
+        for piece in _pieces(batches, text):
+            numbers, ends = _term_numbers(piece.column(text), shared.value)
+            packed = [None, pa.py_buffer((ends * 4).astype(np.int32)), pa.py_buffer(numbers.astype(np.int32))]
+            terms = pa.Array.from_buffers(pa.binary(), piece.num_rows, packed)
+            yield pa.RecordBatch.from_arrays([*piece.columns, terms], [*piece.schema.names, "terms"])
+
+    return rows.mapInArrow(run, StructType([*rows.schema, StructField("terms", BinaryType())]))
+
+
+def _unpacked(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The term numbers of the texts, and their n + 1 word offsets."""
+    column = column.cast(pa.large_binary())
+    _, offsets, data = column.buffers()
+    ends = np.frombuffer(offsets, np.int64)[column.offset : column.offset + len(column) + 1]
+    if data is None or ends[-1] == ends[0]:
+        return np.zeros(0, np.int64), np.zeros(len(column) + 1, np.int64)
+    held = np.frombuffer(data, np.uint8)[ends[0] : ends[-1]]
+    return held.view(np.int32).astype(np.int64), (ends - ends[0]) // 4
+
+
+def _stored_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        yield from slices(batch, "terms", 4 * SLICE_WORDS)
+
+
+def passage_counts(stored: DataFrame, size: int) -> tuple[np.ndarray, int]:
+    """In how many passages of the corpus each of `size` terms is, and the number of passages."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found, total = np.zeros(size + 1, np.int64), 0
+        for piece in _stored_pieces(batches):
+            numbers, ends = _unpacked(piece.column("terms"))
             first, last = passages(ends)
-            known = np.flatnonzero(numbers < len(terms))
+            known = np.flatnonzero(numbers < size)
             low, high = np.searchsorted(known, first), np.searchsorted(known, last)
-            width = high - low
-            at = np.repeat(low - np.cumsum(width) + width, width) + np.arange(width.sum())
-            each = np.unique(np.repeat(np.arange(len(first)), width) * (len(terms) + 1) + numbers[known[at]])
-            found += np.bincount(each % (len(terms) + 1), minlength=len(terms) + 1)
+            which, at = _expanded(low, high)
+            each = np.unique(which * (size + 1) + numbers[known[at]])
+            found += np.bincount(each % (size + 1), minlength=size + 1)
             total += len(first)
         found[-1] = total
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(found))), pa.array(found)], ["term", "n"])
 
-    counted = rows.mapInArrow(run, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).toPandas()
-    out = np.zeros(len(items.terms) + 1, np.int64)
+    counted = stored.select("terms").mapInArrow(run, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).toPandas()
+    out = np.zeros(size + 1, np.int64)
     out[counted["term"]] = counted["n"]
     return out[:-1], int(out[-1])
 
@@ -124,13 +158,16 @@ def passage_counts(rows: DataFrame, items: Items) -> tuple[np.ndarray, int]:
 @dataclass
 class Lookup:
     """For each term the items that look it up (`starts` are the terms' bounds in `owners`); `needed` is how many looked-up
-    words a window must have for each item, `copied` how many words in order make it a copy."""
+    words a window must have for each item, `copied` how many words in order make it a copy; `parts` are the words of each
+    item and its answer (_parts), `repeats` how many words of an item are there again."""
 
     items: Items
     starts: np.ndarray
     owners: np.ndarray
     needed: np.ndarray
     copied: np.ndarray
+    parts: list[list[tuple[np.ndarray, np.ndarray, np.uint64, np.uint64]]]
+    repeats: np.ndarray
 
 
 @dataclass
@@ -171,7 +208,10 @@ def look_up(items: Items, counts: np.ndarray) -> Lookup:
     every = np.concatenate(terms)
     order = np.argsort(every, kind="stable")
     starts = np.searchsorted(every[order], np.arange(len(items.terms) + 2))
-    return Lookup(items, starts, np.concatenate(owners)[order], np.array(needed), np.array([least_copied(item) for item in items.sequences]))
+    copied = np.array([least_copied(item) for item in items.sequences])
+    parts = [_parts(item, answer) for item, answer in zip(items.sequences, items.answers, strict=True)]
+    repeats = np.array([len(item) - len(set(item.tolist())) for item in items.sequences])
+    return Lookup(items, starts, np.concatenate(owners)[order], np.array(needed), copied, parts, repeats)
 
 
 def term_weights(items: Items, counts: np.ndarray, total: int) -> np.ndarray:
@@ -184,46 +224,70 @@ def term_weights(items: Items, counts: np.ndarray, total: int) -> np.ndarray:
     return np.where(stop, 0, idf)
 
 
+def _range_sums(values: np.ndarray, rows: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """Sum of the rows of `values` that each range low..high-1 of `rows` names; the n-th rows of all ranges at a time."""
+    width = np.maximum(high - low, 0)
+    order = np.argsort(-width, kind="stable")
+    many, begin = width[order], low[order]
+    out = np.zeros((len(low), values.shape[1]), values.dtype)
+    for nth in range(min(WIDE, int(many[0])) if len(many) else 0):
+        some = int(np.searchsorted(-many, -nth))
+        out[:some] += values[rows[begin[:some] + nth]]
+    for one in range(int(np.searchsorted(-many, -WIDE))):
+        out[one] += values[rows[begin[one] + WIDE : begin[one] + many[one]]].sum(axis=0)
+    back = np.empty_like(order)
+    back[order] = np.arange(len(order))
+    return out[back]
+
+
 def _sums(vectors: np.ndarray, numbers: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
     """Sum of the vectors of the terms in each range of words; words of no term or without weight add nothing."""
-    has = np.append(vectors.any(axis=1), False)
-    known = np.flatnonzero(has[numbers])
-    low, high = np.searchsorted(known, first), np.searchsorted(known, last)
-    out = np.zeros((len(first), vectors.shape[1]), np.float32)
-    full = np.flatnonzero(high > low)
-    if len(full):
-        width = high[full] - low[full]
-        at = np.repeat(low[full] - np.cumsum(width) + width, width) + np.arange(width.sum())
-        out[full] = np.add.reduceat(vectors[numbers[known[at]]], np.cumsum(width) - width, axis=0)
-    return out
+    known = np.flatnonzero(np.append(vectors.any(axis=1), False)[numbers])
+    return _range_sums(vectors, numbers[known], np.searchsorted(known, first), np.searchsorted(known, last))
 
 
-def _ragged(blobs: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    ends = np.concatenate([[0], np.cumsum([len(blob) // 4 for blob in blobs], dtype=np.int64)])
-    return np.frombuffer(b"".join(blobs), np.int32).astype(np.int64), ends
+def _strides(ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """First and last + 1 word of every stride; the first stride of every passage, and which passages have a second one."""
+    many = -(-np.diff(ends) // STRIDE)
+    text = np.repeat(np.arange(len(many)), many)
+    nth = np.arange(len(text)) - np.repeat(np.cumsum(many) - many, many)
+    first = ends[text] + nth * STRIDE
+    lead = np.flatnonzero((nth < many[text] - 1) | (many[text] == 1))
+    return first, np.minimum(first + STRIDE, ends[text + 1]), lead, np.flatnonzero(many[text[lead]] > 1)
 
 
-def _scattered(numbers: np.ndarray, ends: np.ndarray, image: np.ndarray, size: int) -> np.ndarray:
-    """Transposed product: per term the sum of the images of the passages it is in, as often as it is there."""
-    out = np.zeros((size, image.shape[1]))
-    if len(numbers):
-        order = np.argsort(numbers, kind="stable")
-        value, start = np.unique(numbers[order], return_index=True)
-        passage = np.repeat(np.arange(len(image)), np.diff(ends))
-        out[value] = np.add.reduceat(image[passage[order]], start, axis=0)
+def _images(vectors: np.ndarray, numbers: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Sum of the vectors of each passage of the texts, from those of its two strides."""
+    first, last, lead, two = _strides(ends)
+    each = _sums(vectors, numbers, first, last)
+    out = each[lead]
+    out[two] += each[lead[two] + 1]
     return out
 
 
-def _summed(stored: DataFrame, shared, finish, rows: int, width: int) -> np.ndarray:
-    """Sum over all stored passages of a matrix that `finish` makes of some and their images: each task adds its own up,
-    Spark adds up the tasks' in chunks of rows, and only the sum comes to the driver."""
+def _scatter(out: np.ndarray, numbers: np.ndarray, ends: np.ndarray, image: np.ndarray, weighted: np.ndarray) -> None:
+    """Transposed product: to the row of each term that has a weight, add the sum of the images of the texts' passages it is
+    in, as often as it is there."""
+    first, last, lead, two = _strides(ends)
+    each = np.zeros((len(first), image.shape[1]), image.dtype)
+    each[lead] = image
+    each[lead[two] + 1] += image[two]
+    known = np.flatnonzero(np.append(weighted, False)[numbers])
+    stride = np.searchsorted(first, known, side="right") - 1
+    order = np.argsort(numbers[known], kind="stable")
+    value, start = np.unique(numbers[known][order], return_index=True)
+    out[value] += _range_sums(each, stride[order], start, np.append(start[1:], len(order)))
+
+
+def _summed(stored: DataFrame, shared, add, rows: int, width: int) -> np.ndarray:
+    """Sum over the passages of all stored texts of a matrix to which `add` adds that of some texts and their passages' images:
+    each task adds its own up, Spark adds up the tasks' in chunks of rows, and only the sum comes to the driver."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out = np.zeros((rows, width))
-        for batch in batches:
-            for at in range(0, batch.num_rows, 2048):
-                numbers, ends = _ragged(batch.column("terms").slice(at, 2048).to_pylist())
-                out += finish(numbers, ends, _sums(shared.value, numbers, ends[:-1], ends[1:]))
+        for piece in _stored_pieces(batches):
+            numbers, ends = _unpacked(piece.column("terms"))
+            add(out, numbers, ends, _images(shared.value, numbers, ends))
         starts = range(0, rows, CHUNK_TERMS)
         parts = [out[a : a + CHUNK_TERMS].tobytes() for a in starts]
         yield pa.RecordBatch.from_arrays([pa.array(list(starts), pa.int64()), pa.array(parts, pa.binary())], ["chunk", "part"])
@@ -232,15 +296,15 @@ def _summed(stored: DataFrame, shared, finish, rows: int, width: int) -> np.ndar
         summed = sum(np.frombuffer(part) for part in frame["part"])
         return pd.DataFrame({"chunk": frame["chunk"][:1], "part": [summed.tobytes()]})
 
-    chunks = stored.mapInArrow(run, "chunk long, part binary").groupBy("chunk").applyInPandas(total, "chunk long, part binary").collect()
+    chunks = stored.select("terms").mapInArrow(run, "chunk long, part binary").groupBy("chunk").applyInPandas(total, "chunk long, part binary").collect()
     if not chunks:
         return np.zeros((rows, width))
-    return np.frombuffer(b"".join(bytes(row["part"]) for row in sorted(chunks, key=lambda row: row["chunk"]))).reshape(rows, width)
+    return np.frombuffer(bytearray(b"".join(row["part"] for row in sorted(chunks, key=lambda row: row["chunk"])))).reshape(rows, width)
 
 
 def latent_vectors(stored: DataFrame, queries: tuple[np.ndarray, np.ndarray], idf: np.ndarray, rank: int = RANK, seed: int = 5) -> np.ndarray:
     """Vector of each term: its weight times its row of the leading right singular vectors of the TF-IDF matrix, whose rows
-    are the stored passages and the items' own.
+    are the passages of the stored texts and of `queries`, the items.
 
     Range finder: the product of A'A with a random block, made orthogonal. Then the Gram matrix of all passages' images
     in that range, whose eigenvectors turn it to the singular directions.
@@ -248,50 +312,33 @@ def latent_vectors(stored: DataFrame, queries: tuple[np.ndarray, np.ndarray], id
     context = stored.sparkSession.sparkContext
     size, columns = len(idf), min(rank + OVERSAMPLING, len(idf))
     numbers, ends = queries
-
-    def images(block: np.ndarray) -> np.ndarray:
-        return _sums(block, numbers, ends[:-1], ends[1:])
-
+    weighted = idf > 0
     start = (np.random.default_rng(seed).normal(size=(size, columns)) * idf[:, None]).astype(np.float32)
-    product = _summed(stored, context.broadcast(start), lambda n, e, image: _scattered(n, e, image, size), size, columns)
-    product = (product + _scattered(numbers, ends, images(start), size)) * idf[:, None]
-    basis, _ = np.linalg.qr(product)
+    product = _summed(stored, context.broadcast(start), lambda out, n, e, image: _scatter(out, n, e, image, weighted), size, columns)
+    _scatter(product, numbers, ends, _images(start, numbers, ends), weighted)
+    basis, _ = np.linalg.qr(product * idf[:, None])
     ranged = (basis * idf[:, None]).astype(np.float32)
-    gram = _summed(stored, context.broadcast(ranged), lambda n, e, image: image.T.astype(float) @ image, columns, columns)
-    own = images(ranged).astype(float)
+    gram = _summed(stored, context.broadcast(ranged), lambda out, n, e, image: np.add(out, image.T @ image, out=out), columns, columns)
+    own = _images(ranged, numbers, ends).astype(float)
     _, turn = np.linalg.eigh(gram + own.T @ own)
     return (ranged @ turn[:, ::-1][:, :rank]).astype(np.float32)
 
 
-def fit(rows: DataFrame, items: Items) -> Model:
-    """Counts over all passages of the corpus, then the latent space of the passages that are not out of the question."""
-    counts, total = passage_counts(rows, items)
-    lookup, idf = look_up(items, counts), term_weights(items, counts, total)
-    shared = rows.sparkSession.sparkContext.broadcast((lookup, idf > 0))
+def _unit(images: np.ndarray) -> np.ndarray:
+    return images / np.maximum(np.linalg.norm(images, axis=1, keepdims=True), 1e-12)
 
-    def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lookup, weighted = shared.value
-        weighted = np.append(weighted, False)
-        for piece in _pieces(batches):
-            numbers, ends = _term_numbers(piece.column("text"), lookup.items.terms)
-            first, last = passages(ends)
-            found = np.unique(_near(numbers, ends, first, last, lookup)[:, 1])
-            held = [part[weighted[part]].astype(np.int32).tobytes() for part in (numbers[a:b] for a, b in zip(first[found].tolist(), last[found].tolist(), strict=True))]
-            yield pa.RecordBatch.from_arrays([pa.array(held, pa.binary())], ["terms"])
 
-    stored = store(rows.mapInArrow(near, "terms binary"))
-    flat = np.concatenate(items.sequences)
+def fit(stored: DataFrame, items: Items) -> Model:
+    """Counts over all passages of the stored texts (`terms` of numbered()), then their latent space."""
+    counts, total = passage_counts(stored, len(items.terms))
+    lookup, idf = look_up(items, counts), term_weights(items, counts, total)
     sizes = np.array([len(s) for s in items.sequences])
-    first, last = passages(np.concatenate([[0], np.cumsum(sizes)]))
-    owners = np.searchsorted(np.cumsum(sizes), first, side="right")
-    parts = [part[idf[part] > 0] for part in (flat[a:b] for a, b in zip(first, last, strict=True))]
-    ends = np.concatenate([[0], np.cumsum([len(part) for part in parts])]).astype(np.int64)
-    own = np.concatenate(parts)
-    vectors = latent_vectors(stored, (own, ends), idf)
-    queries = _sums(vectors, own, ends[:-1], ends[1:])
-    queries /= np.maximum(np.linalg.norm(queries, axis=1, keepdims=True), 1e-12)
-    bounds = np.searchsorted(owners, np.arange(len(sizes) + 1))
-    return Model(lookup, vectors, queries, bounds, MIN_COSINE * np.sqrt(np.minimum(1, (last - first) / PASSAGE)))
+    flat, ends = np.concatenate(items.sequences), np.concatenate([[0], np.cumsum(sizes)])
+    vectors = latent_vectors(stored, (flat, ends), idf)
+    first, last = passages(ends)
+    bounds = np.searchsorted(first, ends)
+    least = MIN_COSINE * np.sqrt(np.minimum(1, (last - first) / PASSAGE))
+    return Model(lookup, vectors, _unit(_images(vectors, flat, ends)), bounds, least.astype(np.float32))
 
 
 def common_words(item: np.ndarray, text: np.ndarray) -> int:
@@ -323,9 +370,9 @@ def _expanded(low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return np.repeat(np.arange(len(low)), width), np.repeat(low - np.cumsum(width) + width, width) + np.arange(width.sum())
 
 
-def _near(numbers: np.ndarray, ends: np.ndarray, first: np.ndarray, last: np.ndarray, lookup: Lookup) -> np.ndarray:
+def _windows(numbers: np.ndarray, ends: np.ndarray, first: np.ndarray, last: np.ndarray, lookup: Lookup) -> np.ndarray:
     """Pairs of an item and a passage whose window may have the words needed, each once, in order: those that hold a
-    looked-up word which begins a stretch, as long as a window at most, with enough of them."""
+    looked-up word which begins a stretch, as long as a window at most, with enough of them. No other pair can match."""
     known = np.flatnonzero(np.diff(lookup.starts)[numbers])
     which, at = _expanded(lookup.starts[numbers[known]], lookup.starts[numbers[known] + 1])
     owner, place = lookup.owners[at], known[which]
@@ -345,51 +392,81 @@ def _near(numbers: np.ndarray, ends: np.ndarray, first: np.ndarray, last: np.nda
     return np.stack([pairs // (len(first) + 1), pairs % (len(first) + 1)], axis=1)
 
 
-def _alike(pairs: np.ndarray, numbers: np.ndarray, first: np.ndarray, last: np.ndarray, model: Model) -> np.ndarray:
-    """The pairs whose passage is a candidate: near enough to one of the item's in the latent space."""
-    used, place = np.unique(pairs[:, 1], return_inverse=True)
-    images = _sums(model.vectors, numbers, first[used], last[used])
-    images /= np.maximum(np.linalg.norm(images, axis=1, keepdims=True), 1e-12)
-    kept = np.zeros(len(pairs), bool)
-    for begin in range(0, len(pairs), 8192):
-        some = slice(begin, begin + 8192)
-        which, query = _expanded(model.bounds[pairs[some, 0]], model.bounds[pairs[some, 0] + 1])
-        cosine = np.einsum("ij,ij->i", images[place[some][which]], model.queries[query])
-        kept[begin + which[cosine >= model.least[query]]] = True
-    return pairs[kept]
+def candidates(numbers: np.ndarray, ends: np.ndarray, model: Model) -> Iterator[tuple[int, np.ndarray]]:
+    """Every passage of the texts against every passage of an item: tiles of passages, with the number of the first one, and
+    whether each is near enough in the latent space to each of the items' passages."""
+    images = _unit(_images(model.vectors, numbers, ends))
+    size = max(1, TILE // max(1, len(model.queries)))
+    for begin in range(0, len(images), size):
+        yield begin, images[begin : begin + size] @ model.queries.T >= model.least
+
+
+def _possible(numbers: np.ndarray, ends: np.ndarray, first: np.ndarray, last: np.ndarray, model: Model) -> np.ndarray:
+    """The candidates, as pairs of an item and a passage in order, that the count of rarest words does not rule out."""
+    windows = _windows(numbers, ends, first, last, model.lookup)
+    windows = windows[np.argsort(windows[:, 1], kind="stable")]
+    kept = np.zeros(len(windows), bool)
+    for begin, near in candidates(numbers, ends, model):
+        low, high = np.searchsorted(windows[:, 1], (begin, begin + len(near)))
+        some = windows[low:high]
+        which, query = _expanded(model.bounds[some[:, 0]], model.bounds[some[:, 0] + 1])
+        kept[low + which[near[some[which, 1] - begin, query]]] = True
+    windows = windows[kept]
+    return windows[np.argsort(windows[:, 0], kind="stable")]
+
+
+def _parts(item: np.ndarray, answer: np.ndarray) -> list[tuple[np.ndarray, np.ndarray, np.uint64, np.uint64]]:
+    """The different words of an item and its answer, 64 at a time: the words, a bit for each, the item's bits, the answer's."""
+    words, out = np.union1d(item, answer), []
+    for some in range(0, len(words), 64):
+        part = words[some : some + 64]
+        bits = np.uint64(1) << np.arange(len(part), dtype=np.uint64)
+        out.append((part, bits, *(np.bitwise_or.reduce(bits[np.isin(part, one)], initial=np.uint64(0)) for one in (item, answer))))
+    return out
+
 
+def _held(item: int, lookup: Lookup, padded: np.ndarray, begin: np.ndarray, end: np.ndarray, places: np.ndarray) -> np.ndarray:
+    """Whether each window begin..end-1 has enough different words of the item for a copy, or all words of its answer; of
+    `padded` the last word is of no term, and `places` are zeros, as they are left."""
+    at = begin[:, None] + np.arange(int((end - begin).max()))
+    text = padded[np.where(at < end[:, None], at, len(padded) - 1)]
+    common, told = np.full(len(begin), lookup.repeats[item]), np.ones(len(begin), bool)
+    for part, bits, of_item, of_answer in lookup.parts[item]:
+        places[part] = bits
+        found = np.bitwise_or.reduce(places[text], axis=1)
+        places[part] = 0
+        common += np.bitwise_count(found & of_item)
+        told &= found & of_answer == of_answer
+    return (common >= lookup.copied[item]) | told
 
-def _found(column: pa.Array, model: Model) -> dict[int, dict[int, float]]:
-    """For each row of a slice the items in it and their shares."""
+
+def _found(numbers: np.ndarray, ends: np.ndarray, model: Model) -> dict[int, dict[int, float]]:
+    """For each text of a slice the items in it and their shares."""
     lookup, items = model.lookup, model.lookup.items
-    numbers, ends = _term_numbers(column, items.terms)
     first, last = passages(ends)
-    pairs = _near(numbers, ends, first, last, lookup)
-    pairs = _alike(pairs, numbers, first, last, model) if len(pairs) else pairs
+    pairs = _possible(numbers, ends, first, last, model)
     rows = np.searchsorted(ends, first[pairs[:, 1]], side="right") - 1
+    around = np.array([len(sequence) // 2 for sequence in items.sequences])[pairs[:, 0]]
+    begin, end = np.maximum(ends[rows], first[pairs[:, 1]] - around), np.minimum(ends[rows + 1], last[pairs[:, 1]] + around)
     out: dict[int, dict[int, float]] = {}
-    number, first, last, ends = numbers.tolist(), first.tolist(), last.tolist(), ends.tolist()
-    before = -1
-    for row, (item, at) in zip(rows.tolist(), pairs.tolist(), strict=True):
-        if item != before:
-            before, sequence, answer = item, items.sequences[item], items.answers[item]
-            around, copied = len(sequence) // 2, int(lookup.copied[item])
-            own, told = set(sequence.tolist()), set(answer.tolist())
-            repeats = len(sequence) - len(own)
-        if out.get(row, {}).get(item, 0) >= LEAST_SHARE:
-            continue
-        begin, end = max(ends[row], first[at] - around), min(ends[row + 1], last[at] + around)
-        held = set(number[begin:end])
-        if len(own & held) + repeats < copied and not told <= held:
-            continue
-        if share := matches(sequence, answer, numbers[begin:end]):
-            known = out.setdefault(row, {})
-            known[item] = max(share, known.get(item, 0))
+    bounds = np.append(np.flatnonzero(np.diff(pairs[:, 0], prepend=-1)), len(pairs)).tolist()
+    padded, places = np.append(numbers, len(items.terms)), np.zeros(len(items.terms) + 1, np.uint64)
+    for low, high in zip(bounds[:-1], bounds[1:], strict=True):
+        item = int(pairs[low, 0])
+        sequence, answer = items.sequences[item], items.answers[item]
+        held = _held(item, lookup, padded, begin[low:high], end[low:high], places)
+        for at in (low + np.flatnonzero(held)).tolist():
+            known = out.get(int(rows[at]), {})
+            if known.get(item, 0) >= LEAST_SHARE:
+                continue
+            if share := matches(sequence, answer, numbers[begin[at] : end[at]]):
+                out.setdefault(int(rows[at]), known)[item] = max(share, known.get(item, 0))
     return out
 
 
-def item_blocks(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text", block_bytes: int = BLOCK_BYTES) -> Iterator[Items]:
-    """The items in blocks of bounded size, by hash of their id. Items without words are left out: nothing can hold them."""
+def item_blocks(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text", block_bytes: int = BLOCK_BYTES) -> Iterator[tuple[Items, bool]]:
+    """The items in blocks of bounded size, by hash of their id, and whether others may follow. Items without words are left
+    out: nothing can hold them."""
     rows = benchmark.select(benchmark[id_col].cast("long").alias("item_id"), F.coalesce(benchmark[text_col], F.lit("")).alias("text")).distinct()
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = -(-size // block_bytes)
@@ -397,7 +474,7 @@ def item_blocks(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "
         own = rows.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block).orderBy("item_id", "text").collect()
         held = [(row["item_id"], row["text"]) for row in own if re.search(r"\w", row["text"])]
         if held:
-            yield Items.of([one for one, _ in held], [text for _, text in held])
+            yield Items.of([one for one, _ in held], [text for _, text in held]), block + 1 < blocks
 
 
 def find_items(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -409,34 +486,41 @@ def find_items(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
     """
     rows = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text"))
     out = rows.withColumn("items", F.expr("cast(array() as array<bigint>)")).withColumn("share", F.lit(0.0))
-    for items in item_blocks(benchmark):
-        shared = rows.sparkSession.sparkContext.broadcast(fit(rows.select("text"), items))
-
-        def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+    for items, more in item_blocks(benchmark):
+        terms = numbered(out, items)
+        stored = store(terms.drop("text"))
+        held = terms if more else stored
+        names = [name for name in held.columns if name != "terms"]
+        shared = rows.sparkSession.sparkContext.broadcast(fit(stored, items))
+
+        def run(batches: Iterator[pa.RecordBatch], shared=shared, names=names) -> Iterator[pa.RecordBatch]:
             model = shared.value
-            for piece in _pieces(batches):
-                found = _found(piece.column("text"), model)
+            for piece in _stored_pieces(batches):
+                found = _found(*_unpacked(piece.column("terms")), model)
                 lists, shares = piece.column("items").to_pylist(), piece.column("share").to_pylist()
                 for row, known in found.items():
                     lists[row] = sorted({*lists[row], *(model.lookup.items.ids[item] for item in known)})
                     shares[row] = max(shares[row], *known.values())
-                columns = [piece.column("doc_id"), piece.column("text"), pa.array(lists, pa.list_(pa.int64())), pa.array(shares, pa.float64())]
-                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "text", "items", "share"])
+                made = {"items": pa.array(lists, pa.list_(pa.int64())), "share": pa.array(shares, pa.float64())}
+                yield pa.RecordBatch.from_arrays([made.get(name, piece.column(name)) for name in names], names)
 
-        out = out.mapInArrow(run, "doc_id long, text string, items array<long>, share double")
+        out = held.mapInArrow(run, held.drop("terms").schema)
     return out.select("doc_id", "items", "share", (F.size("items") > 0).alias("contaminated"))
 
 
 def without_items(docs: DataFrame, benchmark: DataFrame, text_col: str = "text") -> DataFrame:
     """The rows of docs that hold no benchmark item, with all their columns; one pass for each block of items."""
     out = docs
-    for items in item_blocks(benchmark):
-        shared = docs.sparkSession.sparkContext.broadcast(fit(docs.select(docs[text_col].alias("text")), items))
+    texts = docs.select(docs[text_col].alias("text"))
+    for items, _ in item_blocks(benchmark):
+        stored = store(numbered(texts, items).drop("text"))
+        shared = docs.sparkSession.sparkContext.broadcast(fit(stored, items))
 
         def keep(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            model = shared.value
             for piece in _pieces(batches, text_col):
                 clean = np.ones(piece.num_rows, bool)
-                clean[list(_found(piece.column(text_col), shared.value))] = False
+                clean[list(_found(*_term_numbers(piece.column(text_col), model.lookup.items.terms), model))] = False
                 yield piece.filter(pa.array(clean))
 
         out = out.mapInArrow(keep, docs.schema)

@@ -244,6 +244,48 @@ def test_candidates_come_from_the_cosine(spark, monkeypatch):
     assert decontamination.find_items(docs, items).where("contaminated").count() == 0
 
 
+def _own_corpus(spark):
+    """Texts of 1 to 90 words, most of which share few rare words with the items, and four items."""
+    random = np.random.default_rng(11)
+    pool = [f"w{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(60)]
+    texts = [" ".join(pool[i] for i in random.zipf(1.3, n) % 60) for n in random.integers(1, 90, 120)]
+    items = [" ".join(pool[i] for i in random.choice(60, n, replace=False)) for n in (6, 20, 33, 50)]
+    model = decontamination.Items.of(list(range(4)), items)
+    rows = spark.createDataFrame([(text,) for text in [*texts, "", None]], "text string").repartition(3)
+    return model, texts, decontamination.numbered(rows, model)
+
+
+def _plain_passages(sequence):
+    starts = range(0, max(1, len(sequence) - decontamination.STRIDE), decontamination.STRIDE)
+    return [sequence[at : at + decontamination.PASSAGE] for at in starts]
+
+
+def test_the_latent_space_is_fitted_to_every_passage_and_all_are_searched(spark):
+    items, texts, rows = _own_corpus(spark)
+    size = len(items.terms)
+    model = decontamination.fit(rows, items)
+    numbers = [decontamination._term_numbers(pa.array([text]), items.terms)[0] for text in texts]
+    corpus = [passage for text in numbers for passage in _plain_passages(text)]
+    own = [passage for sequence in items.sequences for passage in _plain_passages(sequence)]
+    counts = np.array([sum(term in passage for passage in corpus) for term in range(size)])
+    idf = decontamination.term_weights(items, counts, len(corpus))
+
+    def rows_of(passages):
+        return np.array([np.bincount(p[p < size], minlength=size) * idf for p in passages])
+
+    _, _, right = np.linalg.svd(np.concatenate([rows_of(corpus), rows_of(own)]))
+    assert model.vectors.shape[1] == size < decontamination.RANK
+    assert np.allclose(model.vectors @ model.vectors.T, (idf[:, None] * right.T) @ (idf[:, None] * right.T).T, atol=1e-3)
+
+    unit = [decontamination._unit(rows_of(some) @ right.T) for some in (corpus, own)]
+    least = decontamination.MIN_COSINE * np.sqrt(np.array([min(1, len(p) / decontamination.PASSAGE) for p in own]))
+    flat, ends = np.concatenate(numbers), np.concatenate([[0], np.cumsum([len(text) for text in numbers])])
+    near = np.concatenate([tile for _, tile in decontamination.candidates(flat, ends, model)])
+    cosine = unit[0] @ unit[1].T
+    clear = np.abs(cosine - least) > 1e-3
+    assert near.shape == cosine.shape and (near == (cosine >= least))[clear].all() and near.any() and not near.all()
+
+
 # -- registry and pipeline ------------------------------------------------
 
 
