@@ -143,6 +143,20 @@ def test_a_bucket_is_one_file(spark, tmp_path):
     assert table.count() == 1000 and len(table.inputFiles()) == 4
 
 
+def test_a_bucket_too_big_for_one_task_is_written_by_several(spark, tmp_path):
+    rows = spark.range(400_000).select((F.col("id") % 2).alias("k"), F.xxhash64("id").alias("v"))
+    limit = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(limit)
+    spark.conf.set(limit, "64k")
+    try:
+        table = write_bucketed(rows.repartition(16), "cut_buckets", f"{tmp_path}/t", "k", 2)
+    finally:
+        spark.conf.set(limit, before)
+    assert len(table.inputFiles()) > 2
+    assert sorted(table.groupBy("k").count().collect()) == [(0, 200_000), (1, 200_000)]
+    assert "Exchange" not in plan(table.groupBy("k").count())
+
+
 # -- corrections ----------------------------------------------------------
 
 CONTRACT = "k int, day date, v int, m string"
