@@ -4,10 +4,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def stamp_load(df: DataFrame, source_name: str, batch_id: str, source_file: str | Column | None = None) -> DataFrame:
+def stamp_load(df: DataFrame, source_name: str, batch_id: str | Column, source_file: str | Column | None = None) -> DataFrame:
     """Add load time, source name, batch id and source file.
 
-    `source_file` may be left out when the scan already carries that column. The
+    A batch id that is a column stamps several batches at once. `source_file` may be left out when the scan already carries that column. The
     batch id is passed in, so a run can be repeated under the same one.
     """
     stamps = {
