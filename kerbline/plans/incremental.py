@@ -17,7 +17,7 @@ from kerbline.operators.quality import TripLimits, require_valid
 from kerbline.plans import bronze, gold, silver
 from kerbline.sinks import append_batch, gather_months, replace_months, replace_table
 from kerbline.sources.monthly import scan_months
-from kerbline.sources.tables import load_table, only_months
+from kerbline.sources.tables import bounded_tasks, load_table, only_months
 from kerbline.sources.zones import scan_zone_csv
 
 # Source names stamped on bronze rows unless the caller gives others.
@@ -191,8 +191,9 @@ def publish_silver(
     bronze_trips = lake.read(spark, "yellow_trips")
     if batches is not None:
         bronze_trips = bronze_trips.where(F.col("batch_id").isin(batches))
-    trips = silver.silver_trips(bronze_trips, lake.read(spark, "silver_zones"), limits, months, lenient)
-    put_months(trips, lake.path("silver_trips"), "pickup_month", months, gather, lake.fmt)
+    trips = silver.silver_trips(bronze_trips, lake.read(spark, "silver_zones"), limits, months, lenient, gather)
+    with bounded_tasks(spark):
+        put_months(trips, lake.path("silver_trips"), "pickup_month", months, False, lake.fmt)
 
 
 def publish_gold(
@@ -215,7 +216,8 @@ def publish_gold(
         put_months(mart, lake.path(table), "trip_month", months, gather, lake.fmt)
 
     trips = only_months(lake.read(spark, "silver_trips"), months, "pickup_month")
-    put_months(gold.fact_trips(trips), lake.path("fact_taxi_trips"), "trip_month", months, False, lake.fmt)
+    with bounded_tasks(spark):
+        put_months(gold.fact_trips(trips), lake.path("fact_taxi_trips"), "trip_month", months, False, lake.fmt)
 
     fact = only_months(lake.read(spark, "fact_taxi_trips"), months, "trip_month")
 

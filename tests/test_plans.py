@@ -3,11 +3,13 @@
 import re
 
 from compare import SMALL
+from pyspark.sql import functions as F
+
 from kerbline import TripLimits
 from kerbline.functions.months import in_months
 from kerbline.plans import gold, reports, silver
-from kerbline.sources.tables import only_months
-from workload import stage
+from kerbline.sources.tables import TASK_LIMITS, bounded_tasks, only_months
+from workload import relations, stage
 from workload.queries import all_queries
 from workload.relations import AIRPORTS
 
@@ -80,3 +82,59 @@ def test_no_cross_join_and_no_python_in_any_plan(spark):
         text = plan(query(spark, SMALL))
         assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text, name
         assert "Python" not in text and "Pandas" not in text, name
+
+
+def test_trips_are_gathered_by_month_before_they_get_their_zones(spark):
+    bronze, zones = (stage.table(spark, SMALL, name) for name in ("yellow_trips", "silver_zones"))
+    text = plan(silver.silver_trips(bronze, zones, TripLimits(), gather=True))
+    above, below = text.split("REBALANCE_PARTITIONS_BY_COL")
+    assert above.count("BroadcastHashJoin") == 2 and "BroadcastHashJoin" not in below
+    assert "payment_type" in re.search(r"Filter \(\(?\(?_copy.*", below)[0]
+    gathered, plain = (silver.silver_trips(bronze, zones, TripLimits(), gather=gather) for gather in (True, False))
+    assert gathered.exceptAll(plain).isEmpty() and plain.exceptAll(gathered).isEmpty()
+
+
+def test_both_batches_of_bronze_come_from_one_pass(spark):
+    raw = relations.raw_trips(spark, SMALL)
+    both = relations.bronze_batches(raw)
+    assert plan(both).count("lineitem.parquet") == 1
+    for batch in ("b1", "b2"):
+        one, want = both.where(F.col("batch_id") == batch).drop("batch_id"), relations.bronze_batch(raw, batch)
+        assert one.exceptAll(want).isEmpty() and want.exceptAll(one).isEmpty()
+
+
+def test_a_line_item_travels_for_its_order_only(spark):
+    """Orders meet their customers first: with no table small enough to broadcast, line items are shuffled for their order and
+    their supplier, not for the customer as well."""
+    limit = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(limit)
+    spark.conf.set(limit, "-1")
+    try:
+        raw = relations.raw_trips(spark, SMALL)
+        text = plan(raw)
+    finally:
+        spark.conf.set(limit, before)
+    assert text.count("Exchange hashpartitioning(o_custkey") == 1
+    carried = text[text.index("Exchange hashpartitioning(o_custkey") :].split("Exchange")[1]
+    assert "l_quantity" not in carried and "orders.parquet" in carried
+
+
+def test_the_months_delivered_are_read_from_their_folders(spark, monkeypatch):
+    root = stage.month_files(spark, SMALL)
+    monkeypatch.setattr(stage, "bronze_lake", None)
+    months = stage.month_list(spark, SMALL)
+    assert months == sorted(months) and all(spark.read.parquet(root.format(month=month)).limit(1).count() == 1 for month in months[:2])
+
+
+def test_tasks_take_bounded_parts_of_files_and_shuffles(spark):
+    name = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(name)
+    with bounded_tasks(spark):
+        assert all(spark.conf.get(key) == limit for key, limit in TASK_LIMITS.items())
+    assert spark.conf.get(name) == before
+    spark.conf.set(name, "1MB")
+    try:
+        with bounded_tasks(spark):
+            assert spark.conf.get(name) == "1MB"
+    finally:
+        spark.conf.set(name, before)

@@ -17,14 +17,34 @@ from kerbline.functions.trips import month_key
 from kerbline.plans import bronze, silver
 from kerbline.plans.incremental import TABLES, publish_gold, publish_silver
 from kerbline.sinks import append_batch, gather_months, replace_table
-from workload.relations import AIRPORT_FEE_SINCE, AIRPORTS, bronze_batch, raw_trips, zones_raw
+from kerbline.sources.tables import bound_tasks
+from workload.relations import AIRPORT_FEE_SINCE, AIRPORTS, bronze_batches, raw_trips, zones_raw
+
+FIRST_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+LINES_PER_PARTITION, MOST_PARTITIONS = 100_000, 4_000
 
 _lock = threading.RLock()
+_partitions: dict[tuple[str, str], int] = {}
 _roots: dict[str, str] = {}
 _built: set[tuple[str, str]] = set()
 _tables: dict[tuple[str, str], DataFrame] = {}
 
 
+def fit_tasks(spark: SparkSession, sf_dir: str) -> None:
+    """From now on, tasks that sort trips get about as many of them however many there are: what a task takes is bounded, and
+    a shuffle begins with a partition for so many line items (counted in the footers), which adaptive execution merges again
+    where they are small. The settings stay: frames are lazy and run after the query has returned."""
+    bound_tasks(spark)
+    with _lock:
+        key = (scratch_root(spark), sf_dir)
+        if key not in _partitions:
+            lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet").count()
+            _partitions[key] = min(MOST_PARTITIONS, -(-lines // LINES_PER_PARTITION))
+    spark.conf.unset(FIRST_PARTITIONS)
+    if _partitions[key] > int(spark.conf.get("spark.sql.shuffle.partitions")):
+        spark.conf.set(FIRST_PARTITIONS, str(_partitions[key]))
+
+
 def scratch_root(spark: SparkSession) -> str:
     """A folder of this application's own under the shared scratch folder."""
     app = spark.sparkContext.applicationId
@@ -55,11 +75,9 @@ def bronze_lake(spark: SparkSession, sf_dir: str) -> Lake:
     lake = _lake(spark, sf_dir)
 
     def build() -> None:
-        raw = raw_trips(spark, sf_dir)
-        for batch_id in ("b1", "b2"):
-            rows = bronze_batch(raw, batch_id)
-            stamped = bronze.stamp_load(rows, "trips", batch_id, f"{sf_dir}/lineitem.parquet")
-            append_batch(stamped, lake.path("yellow_trips"))
+        rows = bronze_batches(raw_trips(spark, sf_dir))
+        stamped = bronze.stamp_load(rows, "trips", F.col("batch_id"), f"{sf_dir}/lineitem.parquet")
+        append_batch(stamped, lake.path("yellow_trips"))
         zones = bronze.stamp_load(zones_raw(spark, sf_dir), "zones", "b1", f"{sf_dir}/nation.parquet")
         replace_table(zones, lake.path("taxi_zones"))
         replace_table(silver.silver_zones(lake.read(spark, "taxi_zones")), lake.path("silver_zones"))
@@ -99,7 +117,11 @@ def month_files(spark: SparkSession, sf_dir: str) -> str:
     root = f"{_lake(spark, sf_dir).root}/files"
 
     def build() -> None:
-        raw = raw_trips(spark, sf_dir).drop("l_linenumber")
+        # Trips are put together once; each kind of file is then cut from them.
+        kept = f"{_lake(spark, sf_dir).root}/raw_trips"
+        trips = raw_trips(spark, sf_dir).drop("l_linenumber")
+        replace_table(trips, kept)
+        raw = spark.read.schema(trips.schema).parquet(kept)
         early = F.col("file_month") < AIRPORT_FEE_SINCE
         for rows in (raw.where(early).drop("Airport_fee"), raw.where(~early)):
             gather_months(rows, "file_month").write.mode("append").partitionBy("file_month").parquet(root)
@@ -114,5 +136,7 @@ def delivered_months(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def month_list(spark: SparkSession, sf_dir: str) -> list[str]:
-    """Every delivery month, in order: the names of the monthly folders."""
-    return sorted(row.month for row in delivered_months(spark, sf_dir).collect())
+    """Every delivery month, in order: the names of the monthly folders, from which alone they are read."""
+    root = month_files(spark, sf_dir).rsplit("/", 1)[0]
+    folders = spark.read.schema("file_month string").parquet(root).select("file_month").distinct()
+    return sorted(row.file_month for row in folders.collect())
