@@ -370,28 +370,6 @@ def _expanded(low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return np.repeat(np.arange(len(low)), width), np.repeat(low - np.cumsum(width) + width, width) + np.arange(width.sum())
 
 
-def _windows(numbers: np.ndarray, ends: np.ndarray, first: np.ndarray, last: np.ndarray, lookup: Lookup) -> np.ndarray:
-    """Pairs of an item and a passage whose window may have the words needed, each once, in order: those that hold a
-    looked-up word which begins a stretch, as long as a window at most, with enough of them. No other pair can match."""
-    known = np.flatnonzero(np.diff(lookup.starts)[numbers])
-    which, at = _expanded(lookup.starts[numbers[known]], lookup.starts[numbers[known] + 1])
-    owner, place = lookup.owners[at], known[which]
-    order = np.argsort(owner, kind="stable")
-    owner, place = owner[order], place[order]
-    around = np.array([len(s) // 2 for s in lookup.items.sequences])[owner]
-    row = np.searchsorted(ends, place, side="right") - 1
-    size = len(numbers) + 1
-    until = np.searchsorted(owner * size + place, owner * size + np.minimum(place + PASSAGE + 2 * around, ends[row + 1]))
-    enough = until - np.arange(len(place)) >= lookup.needed[owner]
-    owner, place, around, row = owner[enough], place[enough], around[enough], row[enough]
-    base = np.searchsorted(first, ends)
-    low = np.maximum(base[row], np.searchsorted(last, place - around, side="right"))
-    high = np.minimum(base[row + 1], np.searchsorted(first, place + around, side="right"))
-    which, passage = _expanded(low, high)
-    pairs = np.unique(owner[which] * (len(first) + 1) + passage)
-    return np.stack([pairs // (len(first) + 1), pairs % (len(first) + 1)], axis=1)
-
-
 def candidates(numbers: np.ndarray, ends: np.ndarray, model: Model) -> Iterator[tuple[int, np.ndarray]]:
     """Every passage of the texts against every passage of an item: tiles of passages, with the number of the first one, and
     whether each is near enough in the latent space to each of the items' passages."""
@@ -401,18 +379,31 @@ def candidates(numbers: np.ndarray, ends: np.ndarray, model: Model) -> Iterator[
         yield begin, images[begin : begin + size] @ model.queries.T >= model.least
 
 
+def _looked_up(numbers: np.ndarray, lookup: Lookup) -> np.ndarray:
+    """Where the words are that an item looks up, in order: item * (len(numbers) + 1) + word."""
+    known = np.flatnonzero(np.diff(lookup.starts)[numbers])
+    which, at = _expanded(lookup.starts[numbers[known]], lookup.starts[numbers[known] + 1])
+    return np.sort(lookup.owners[at] * (len(numbers) + 1) + known[which])
+
+
 def _possible(numbers: np.ndarray, ends: np.ndarray, first: np.ndarray, last: np.ndarray, model: Model) -> np.ndarray:
-    """The candidates, as pairs of an item and a passage in order, that the count of rarest words does not rule out."""
-    windows = _windows(numbers, ends, first, last, model.lookup)
-    windows = windows[np.argsort(windows[:, 1], kind="stable")]
-    kept = np.zeros(len(windows), bool)
-    for begin, near in candidates(numbers, ends, model):
-        low, high = np.searchsorted(windows[:, 1], (begin, begin + len(near)))
-        some = windows[low:high]
-        which, query = _expanded(model.bounds[some[:, 0]], model.bounds[some[:, 0] + 1])
-        kept[low + which[near[some[which, 1] - begin, query]]] = True
-    windows = windows[kept]
-    return windows[np.argsort(windows[:, 0], kind="stable")]
+    """The candidates, as pairs of an item and a passage in order, less those whose window has too few looked-up words."""
+    lookup, size = model.lookup, len(numbers) + 1
+    places = np.concatenate([[-1], _looked_up(numbers, lookup), np.full(ANCHORS, np.iinfo(np.int64).max)])
+    around = np.array([len(sequence) // 2 for sequence in lookup.items.sequences])
+    row = np.searchsorted(ends, first, side="right") - 1
+    begin, end = ends[row], ends[row + 1]
+    owners = np.repeat(np.arange(len(around)), np.diff(model.bounds))
+    out = [np.zeros(0, np.int64)]
+    for start, near in candidates(numbers, ends, model):
+        query, at = np.nonzero(np.ascontiguousarray(near.T))
+        item, at = owners[query], at + start
+        base, beyond = item * size, around[item]
+        nth = np.searchsorted(places, base + np.maximum(begin[at], first[at] - beyond)) + lookup.needed[item] - 1
+        enough = places[nth] < base + np.minimum(end[at], last[at] + beyond)
+        out.append(item[enough] * size + at[enough])
+    pairs = np.unique(np.concatenate(out))
+    return np.stack([pairs // size, pairs % size], axis=1)
 
 
 def _parts(item: np.ndarray, answer: np.ndarray) -> list[tuple[np.ndarray, np.ndarray, np.uint64, np.uint64]]:

@@ -286,6 +286,29 @@ def test_the_latent_space_is_fitted_to_every_passage_and_all_are_searched(spark)
     assert near.shape == cosine.shape and (near == (cosine >= least))[clear].all() and near.any() and not near.all()
 
 
+def test_the_count_of_rare_words_only_checks_what_the_cosine_yields(spark):
+    """Each candidate is counted in its own window; a count that asks for nothing leaves every candidate, whatever its words."""
+    items, texts, rows = _own_corpus(spark)
+    model = decontamination.fit(rows, items)
+    lookup = model.lookup
+    numbers, ends = decontamination._term_numbers(pa.array(texts), items.terms)
+    first, last = decontamination.passages(ends)
+    near = np.concatenate([tile for _, tile in decontamination.candidates(numbers, ends, model)])
+    found, without = [], 0
+    for item, sequence in enumerate(items.sequences):
+        own = [term for term in range(len(items.terms)) if item in lookup.owners[lookup.starts[term] : lookup.starts[term + 1]]]
+        for at in np.flatnonzero(near[:, model.bounds[item] : model.bounds[item + 1]].any(axis=1)).tolist():
+            text, around = np.searchsorted(ends, first[at], side="right") - 1, len(sequence) // 2
+            window = numbers[max(ends[text], first[at] - around) : min(ends[text + 1], last[at] + around)]
+            found.append((item, at, int(np.isin(window, own).sum())))
+            without += found[-1][2] == 0
+    checked = [(item, at) for item, at, many in found if many >= lookup.needed[item]]
+    assert without and 0 < len(checked) < len(found)
+    assert [tuple(pair) for pair in decontamination._possible(numbers, ends, first, last, model).tolist()] == checked
+    lookup.needed[:] = 0
+    assert [tuple(pair) for pair in decontamination._possible(numbers, ends, first, last, model).tolist()] == [pair[:2] for pair in found]
+
+
 # -- registry and pipeline ------------------------------------------------
 
 
